@@ -1,0 +1,262 @@
+"""File readers on the samples, rejects, round trips, table readers."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, example, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tests.samples import DAY, write_samples
+from tidemark import model as m
+from tidemark.functions import instant_to_ntz
+from tidemark.operators import registry as r
+from tidemark.operators.copies import copy_file, write_file
+from tidemark.sources import readers
+from tidemark.sources.readers import FileSpec, TableSpec, read_source
+from tidemark.sources.tables import FrameTables, JdbcTables
+from tidemark.sources.zones import scratch, zone
+
+
+@pytest.fixture
+def files(tmp_path):
+    return write_samples(tmp_path / "landing")
+
+
+def csv(files, name, schema):
+    return FileSpec(m.CSV_FILE, files[name], schema)
+
+
+def document(files, name, schema):
+    return FileSpec(m.JSON_FILE, files[name], schema)
+
+
+def test_currency_rates(spark, files):
+    rows = read_source(
+        spark, csv(files, "currency_rates.csv", m.CURRENCY_RATES)
+    ).collect()
+    assert len(rows) == 9
+    assert tuple(rows[0]) == (
+        date(2026, 5, 1),
+        "USD",
+        "MXN",
+        Decimal("17.0500"),
+        "reference_files",
+    )
+
+
+def test_country_currency(spark, files):
+    df = read_source(spark, csv(files, "country_currency.csv", m.COUNTRY_CURRENCY))
+    rows = readers.flag_columns(df, "IsActive").collect()
+    assert len(rows) == 8
+    assert tuple(rows[0]) == ("MX", "Mexico", "MXN", "Mexican Peso", True)
+    assert all(row.IsActive is True for row in rows)
+
+
+def test_manual_adjustments(spark, files):
+    df = read_source(
+        spark, document(files, "manual_adjustments.json", m.MANUAL_ADJUSTMENTS)
+    )
+    rows = (
+        r.explode_adjustments(df)
+        .withColumn("created_at", instant_to_ntz("created_at"))
+        .collect()
+    )
+    assert [row.entity_reference for row in rows] == ["ORD-00002", "CUST-0001"]
+    assert {row.created_at for row in rows} == {datetime(2026, 5, 11)}
+    assert all(row.is_active is True for row in rows)
+
+
+def test_registry_from_metadata(spark, files):
+    df = read_source(
+        spark, document(files, "source_system_metadata.json", m.SOURCE_METADATA)
+    )
+    rows = r.registry_from_metadata(df, DAY[1]).orderBy("SourceObjectId").collect()
+    assert [(row.SourceObjectId, row.SourceObjectName) for row in rows] == [
+        (1, "Customers"),
+        (2, "Products"),
+        (3, "Orders"),
+        (4, "OrderItems"),
+        (5, "Payments"),
+    ]
+    assert rows[3].DestinationFolder == "sqlserver/sales_local/dbo/orderitems"
+    assert {row.LastWatermarkValue for row in rows} == {m.SENTINEL}
+    assert {row.WatermarkColumn for row in rows} == {"UpdatedAt"}
+
+
+def test_instants_do_not_depend_on_the_session_zone(spark, files):
+    spec = document(files, "manual_adjustments.json", m.MANUAL_ADJUSTMENTS)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        at = read_source(spark, spec).select(instant_to_ntz("created_at")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert at == datetime(2026, 5, 11)
+
+
+def test_header_must_fit_the_schema(spark, files):
+    spec = csv(files, "country_currency.csv", m.CURRENCY_RATES)
+    with pytest.raises(Exception, match="header"):
+        read_source(spark, spec).collect()
+
+
+def test_strict_read_refuses_bad_lines(spark, files):
+    spec = csv(files, "damaged_rates.csv", m.CURRENCY_RATES)
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_source(spark, spec).collect()
+
+
+def test_rejects_are_split_off_whole(spark, files, base):
+    spec = csv(files, "damaged_rates.csv", m.CURRENCY_RATES)
+    counts = copy_file(spark, spec, f"{base}/good", f"{base}/bad")
+    assert (counts.read, counts.copied, counts.rejected) == (3, 1, 2)
+    good = read_source(spark, FileSpec(m.CSV_FILE, f"{base}/good", spec.schema))
+    assert [row.ExchangeRate for row in good.collect()] == [Decimal("17.0500")]
+    raw = spark.read.schema(f"{m.CORRUPT_RECORD} string, BaseCurrency string").json(
+        f"{base}/bad", columnNameOfCorruptRecord="_unused"
+    )
+    assert {row[0] for row in raw.collect()} == {
+        "notadate,USD,MXN,xx,reference_files",
+        "2026-05-02,EUR",
+    }
+
+
+def test_broken_document_is_rejected(spark, tmp_path, base):
+    path = tmp_path / "broken.json"
+    path.write_text('{"adjustment_batch_id": "x", "adjustments": [')
+    spec = FileSpec(m.JSON_FILE, str(path), m.MANUAL_ADJUSTMENTS)
+    counts = copy_file(spark, spec, f"{base}/good", f"{base}/bad")
+    assert (counts.read, counts.copied, counts.rejected) == (1, 0, 1)
+
+
+def test_csv_copy_keeps_lines(spark, files, base):
+    spec = csv(files, "currency_rates.csv", m.CURRENCY_RATES)
+    counts = copy_file(spark, spec, f"{base}/good", f"{base}/bad")
+    assert (counts.read, counts.copied, counts.rejected) == (9, 9, 0)
+    lines = spark.read.text(f"{base}/good").collect()
+    original = open(spec.path).read().splitlines()
+    assert sorted(line.value for line in lines) == sorted(original)
+
+
+def test_json_copy_keeps_documents(spark, files, base):
+    spec = document(files, "manual_adjustments.json", m.MANUAL_ADJUSTMENTS)
+    assert copy_file(spark, spec, f"{base}/good", f"{base}/bad").copied == 1
+    again = FileSpec(m.JSON_FILE, f"{base}/good", spec.schema, multi_line=False)
+    assert read_source(spark, again).collect() == read_source(spark, spec).collect()
+    line = spark.read.text(f"{base}/good").first().value
+    assert '"created_at":"2026-05-11T00:00:00.000Z"' in line
+
+
+WORDS = T.StructType(
+    [T.StructField("Id", T.IntegerType()), T.StructField("Text", T.StringType())]
+)
+# One line per record: a quoted line break would need multiLine reading.
+TEXT = st.text(
+    st.characters(blacklist_characters="\r\n\0", blacklist_categories=("Cs",)),
+    max_size=12,
+)
+
+
+@settings(
+    max_examples=10,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(texts=st.lists(st.one_of(st.none(), TEXT), min_size=1, max_size=20))
+@example(["", None, " a ", ",", '"', '""', "\\", "#", "'", "\t", '\\"', "\u2028", "\x85"])
+@pytest.mark.parametrize("source_type", [m.CSV_FILE, m.JSON_FILE])
+def test_any_text_survives_a_copy(spark, source_type, texts):
+    base = scratch(spark)
+    rows = list(enumerate(texts))
+    write_file(spark.createDataFrame(rows, WORDS), source_type, f"{base}/in")
+    spec = FileSpec(source_type, f"{base}/in", WORDS, multi_line=False)
+    counts = copy_file(spark, spec, f"{base}/out", f"{base}/bad")
+    assert (counts.copied, counts.rejected) == (len(rows), 0)
+    out = FileSpec(source_type, f"{base}/out", WORDS, multi_line=False)
+    got = read_source(spark, out).orderBy("Id").collect()
+    assert [tuple(row) for row in got] == rows
+
+
+def test_parquet_table(spark, base):
+    spark.range(3).write.parquet(f"{base}/orders.parquet")
+    assert read_source(spark, TableSpec("dbo", "orders", root=base)).count() == 3
+    with pytest.raises(ValueError, match="neither"):
+        read_source(spark, TableSpec("dbo", "orders"))
+
+
+def test_unknown_file_type(spark, base):
+    spec = FileSpec("XML_FILE", base, WORDS)
+    with pytest.raises(ValueError, match="XML_FILE"):
+        read_source(spark, spec)
+
+
+# --- JDBC: options only, as no database is at hand ----------------------------
+
+ORDERS_ROW = Row(SourceSchema="dbo", SourceObjectName="Orders", WatermarkColumn="UpdatedAt")
+
+
+def test_jdbc_bounds_are_taken_by_the_database():
+    spec = TableSpec("dbo", "Orders", jdbc_url="jdbc:x", options={"user": "u"})
+    options = readers.jdbc_bounds_options(spec, "UpdatedAt")
+    assert options["query"] == (
+        "SELECT MIN(UpdatedAt) AS LowMark, MAX(UpdatedAt) AS HighMark FROM dbo.Orders"
+    )
+    assert "dbtable" not in options
+    assert options["user"] == "u"
+
+
+def test_jdbc_ranges_start_at_the_data_not_at_the_sentinel(spark):
+    tables = JdbcTables(spark, "jdbc:x", 16)
+    options = tables.window_options(ORDERS_ROW, m.SENTINEL, (DAY[2], DAY[5]))
+    assert options["dbtable"] == "dbo.Orders"
+    assert options["partitionColumn"] == "UpdatedAt"
+    assert options["lowerBound"] == "2026-01-02 00:00:00"
+    assert options["upperBound"] == "2026-01-05 00:00:00.001000"
+    assert options["numPartitions"] == "16"
+    later = tables.window_options(ORDERS_ROW, DAY[4], (DAY[2], DAY[5]))
+    assert later["lowerBound"] == "2026-01-04 00:00:00"
+
+
+@pytest.mark.parametrize(
+    ("old", "bounds"),
+    [(DAY[5], (DAY[2], DAY[5])), (None, (DAY[2], DAY[5])), (DAY[1], (None, None))],
+)
+def test_jdbc_empty_window_has_no_ranges(spark, old, bounds):
+    options = JdbcTables(spark, "jdbc:x", 16).window_options(ORDERS_ROW, old, bounds)
+    assert "partitionColumn" not in options
+
+
+@pytest.mark.parametrize("name", ["Orders; DROP TABLE x", "a.b", "", "Orders]", "1a"])
+def test_jdbc_names_are_plain(name):
+    with pytest.raises(ValueError, match="identifier"):
+        readers.qualified("dbo", name)
+
+
+def test_frame_tables(spark):
+    df = spark.createDataFrame([(DAY[1],), (DAY[3],)], "UpdatedAt timestamp_ntz")
+    tables = FrameTables(lambda row: df)
+    bounds = tables.bounds(ORDERS_ROW)
+    assert bounds == (None, DAY[3])
+    assert tables.window(ORDERS_ROW, DAY[1], bounds).count() == 1
+
+
+# --- Zones --------------------------------------------------------------------
+
+
+def test_zones(spark):
+    assert zone("/lake/", "bronze") == "/lake/bronze"
+    with pytest.raises(ValueError, match="unknown zone"):
+        zone("/lake", m.FAILURE_CONTAINER)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert scratch(spark).startswith(shared)
+    assert scratch(spark) != scratch(spark)
+
+
+def test_flags_keep_null(spark):
+    df = spark.createDataFrame([(1,), (0,), (None,)], "IsActive int")
+    got = [row[0] for row in readers.flag_columns(df, "IsActive").collect()]
+    assert got == [True, False, None]
+    assert df.select(F.col("IsActive")).count() == 3

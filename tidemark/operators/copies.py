@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import CORRUPT_RECORD, CSV_FILE, JSON_FILE, SUCCEEDED
-from tidemark.sources.readers import CSV_OPTIONS, FileSpec, read_with_rejects
+from tidemark.sources.readers import CSV_WRITE, FileSpec, read_with_rejects
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ def write_file(df: DataFrame, source_type: str, path: str) -> None:
     """Write rows in the format of their source."""
     writer = df.write.mode("overwrite")
     if source_type == CSV_FILE:
-        writer.options(**CSV_OPTIONS).option("header", True).csv(path)
+        writer.options(**CSV_WRITE).option("header", True).csv(path)
     elif source_type == JSON_FILE:
         writer.option("timeZone", "UTC").option("ignoreNullFields", False).json(path)
     else:

@@ -24,11 +24,11 @@ from tidemark.operators.copies import Counts, copy_file, copy_window, run_folder
 from tidemark.operators.journals import complete_runs, fail_runs
 from tidemark.operators.registry import SQL_ROUTE, active_sources, route_of
 from tidemark.operators.store import ControlStore
-from tidemark.operators.windows import high_mark, incremental_window, next_mark
+from tidemark.operators.windows import next_mark
 from tidemark.sources.readers import FileSpec
+from tidemark.sources.tables import FrameTables, JdbcTables
 from tidemark.sources.zones import zone
 
-OpenTable = Callable[[Row], DataFrame]
 OpenFile = Callable[[Row], FileSpec]
 Clock = Callable[[], datetime]
 
@@ -53,19 +53,19 @@ class Outcome:
 class Ingestion:
     """Runs loads against one store.
 
-    `open_table` gives the DataFrame of a SQL source from its registry row,
-    `open_file` the file spec of a file source.
+    `tables` serves the SQL sources; `open_file` gives the file spec of a file
+    source from its registry row.
     """
 
     def __init__(
         self,
         store: ControlStore,
-        open_table: OpenTable,
+        tables: FrameTables | JdbcTables,
         open_file: OpenFile,
         clock: Clock = utc_now,
     ):
         self.store = store
-        self.open_table = open_table
+        self.tables = tables
         self.open_file = open_file
         self.clock = clock
 
@@ -83,21 +83,21 @@ class Ingestion:
     def run_source(self, source: Row, pipeline_run_id: str | None = None) -> Outcome:
         """One run of one source, by its type."""
         run = RunLog(self.store, source, pipeline_run_id, self.clock)
-        old = high = None
+        old, bounds = None, (None, None)
         try:
             sql = route_of(source.SourceType) == SQL_ROUTE
             if sql:
-                table = self.open_table(source)
                 old = source.LastWatermarkValue
-                high = high_mark(table, source.WatermarkColumn)
+                bounds = self.tables.bounds(source)
         except Exception as error:  # the run is recorded even so
-            run.start(old, high)
+            run.start(old, None)
             return run.fail(error)
 
+        high = bounds[1]
         run.start(old, high)
         try:
             if sql:
-                window = incremental_window(table, source.WatermarkColumn, old, high)
+                window = self.tables.window(source, old, bounds)
                 counts = copy_window(window, self._target(source, run.run_id))
             else:
                 counts = copy_file(

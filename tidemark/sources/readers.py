@@ -9,16 +9,23 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.marks import floor_millis
+from tidemark.functions.marks import MILLISECOND, floor_millis
 from tidemark.model import CORRUPT_RECORD, CSV_FILE, JSON_FILE, SQL_TABLE
 
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
+# By default the writer trims text, and the reader takes "" for NULL.
+CSV_WRITE = {
+    **CSV_OPTIONS,
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+CSV_READ = {**CSV_OPTIONS, "nullValue": "\0"}
 
 
 @dataclass(frozen=True)
@@ -89,7 +96,7 @@ def _load(
         # Header names are checked against the schema, and all columns are
         # parsed: with pruning, a bad value in an unused column goes unseen.
         return (
-            reader.options(**CSV_OPTIONS)
+            reader.options(**CSV_READ)
             .option("header", spec.header)
             .option("enforceSchema", not spec.header)
             .option("columnPruning", False)
@@ -135,32 +142,33 @@ def jdbc_options(spec: TableSpec) -> dict[str, str]:
     }
 
 
-def jdbc_high_mark_options(spec: TableSpec, watermark_column: str) -> dict[str, str]:
-    """Options that let the database take the maximum itself: one row back."""
+def jdbc_bounds_options(spec: TableSpec, watermark_column: str) -> dict[str, str]:
+    """Options that let the database take both extremes: one row back."""
     options = jdbc_options(spec)
-    del options["dbtable"]
+    table = options.pop("dbtable")
     column = qualified(watermark_column)
-    table = qualified(spec.schema, spec.table)
-    options["query"] = f"SELECT MAX({column}) AS HighWatermark FROM {table}"
+    options["query"] = (
+        f"SELECT MIN({column}) AS LowMark, MAX({column}) AS HighMark FROM {table}"
+    )
     return options
 
 
 def jdbc_window_options(
     spec: TableSpec,
     watermark_column: str,
-    old: datetime,
+    low: datetime,
     high: datetime,
     partitions: int,
 ) -> dict[str, str]:
     """Options to read a window in parallel ranges of the watermark column.
 
-    The range only spreads the work; the window filter itself is still needed.
+    The ranges only spread the work; the window filter is still needed.
     """
-    upper = floor_millis(high) + timedelta(milliseconds=1)
+    upper = floor_millis(high) + MILLISECOND
     return {
         **jdbc_options(spec),
         "partitionColumn": qualified(watermark_column),
-        "lowerBound": old.isoformat(sep=" "),
+        "lowerBound": low.isoformat(sep=" "),
         "upperBound": upper.isoformat(sep=" "),
         "numPartitions": str(partitions),
     }

@@ -13,7 +13,7 @@ from tidemark.model import CORRUPT_RECORD, CSV_FILE, JSON_FILE
 from tidemark.operators.copies import Counts, copy_frame, run_folder
 from tidemark.operators.store import ControlStore
 from tidemark.plans.ingest import Clock, RunLog, utc_now
-from tidemark.sources.readers import CSV_OPTIONS, FileSpec
+from tidemark.sources.readers import CSV_READ, FileSpec
 from tidemark.sources.zones import zone
 
 
@@ -30,7 +30,7 @@ def landing_stream(spark: SparkSession, spec: FileSpec) -> DataFrame:
     )
     if spec.source_type == CSV_FILE:
         return (
-            reader.options(**CSV_OPTIONS)
+            reader.options(**CSV_READ)
             .option("header", spec.header)
             .option("columnPruning", False)
             .csv(spec.path)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import model as m
 from tidemark.functions import ntz
+from tidemark.operators.journals import watermark_state
 from tidemark.operators.registry import (
     prepare_failure,
     require_source,
@@ -24,9 +25,9 @@ from tidemark.operators.windows import (
     pending_counts,
     union_all,
 )
-from tidemark.operators.journals import watermark_state
 from tidemark.plans.checks import eligibility
 from tidemark.plans.ingest import Ingestion
+from tidemark.sources.tables import FrameTables
 from tidemark.sources.zones import scratch
 from workload import tables as t
 
@@ -131,8 +132,7 @@ class _Steps:
         self.at = t.NOW
 
     def __call__(self) -> datetime:
-        self.at = self.at.replace(minute=self.at.minute + (self.at.second == 59),
-                                  second=(self.at.second + 1) % 60)
+        self.at += timedelta(seconds=1)
         return self.at
 
 
@@ -157,7 +157,7 @@ def _orders_store(
     def open_file(row: Row):
         raise ValueError(f"{row.SourceObjectName} is not a file")
 
-    return store, Ingestion(store, open_table, open_file, _Steps())
+    return store, Ingestion(store, FrameTables(open_table), open_file, _Steps())
 
 
 def empty(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -195,7 +195,12 @@ def test_unknown_file_type(spark, base):
 
 # --- JDBC: options only, as no database is at hand ----------------------------
 
-ORDERS_ROW = Row(SourceSchema="dbo", SourceObjectName="Orders", WatermarkColumn="UpdatedAt")
+ORDERS_ROW = Row(
+    SourceSchema="dbo",
+    SourceObjectName="Orders",
+    WatermarkColumn="UpdatedAt",
+    LastWatermarkValue=DAY[1],
+)
 
 
 def test_jdbc_bounds_are_taken_by_the_database():

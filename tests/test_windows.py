@@ -63,7 +63,8 @@ def test_consecutive_windows_partition_the_rows(spark, values, steps):
         # Late rows at or below the mark are not read, by definition.
         arrived = [v for v in values[:step] if v is None or cut(v) > mark or v in copied]
         df = source(spark, *arrived)
-        high = w.high_mark(df, "UpdatedAt")
+        high = w.high_mark(df, "UpdatedAt", mark)
+        assert high == w.high_mark(df, "UpdatedAt")
         rows = w.incremental_window(df, "UpdatedAt", mark, high).collect()
         want = sorted(cut(v) for v in arrived if v is not None and cut(v) > mark)
         assert sorted(row.UpdatedAt for row in rows) == want

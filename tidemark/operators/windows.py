@@ -152,9 +152,22 @@ def eligible_rows(sources: Sources, registry: DataFrame) -> DataFrame:
     return union_all(frames)
 
 
-def high_mark(df: DataFrame, watermark_column: str) -> datetime | None:
-    """The high mark of one source as a driver value; None when it has none."""
-    return df.agg(to_millis(F.max(watermark_column)).alias("high")).first()["high"]
+def high_mark(
+    df: DataFrame, watermark_column: str, old: datetime | None = None
+) -> datetime | None:
+    """The high mark of one source as a driver value; None when it has none.
+
+    With the old mark given, rows above it are asked first: that bound goes
+    down to the scan, so all that was copied before is skipped. Only a source
+    with nothing new is read in full, one column of it.
+    """
+    value = F.col(watermark_column)
+    highest = to_millis(F.max(value)).alias("high")
+    if old is not None:
+        high = df.where(above(value, old)).agg(highest).first()["high"]
+        if high is not None:
+            return high
+    return df.agg(highest).first()["high"]
 
 
 def incremental_window(

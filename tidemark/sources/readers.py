@@ -1,6 +1,6 @@
 """Reading sources: tables through JDBC or Parquet, landing files as CSV or JSON.
 
-Every schema is declared, never inferred. Which reader serves a source depends
+Schemas are declared; none is inferred from the data. Which reader serves a source depends
 on its `SourceType` alone; names and places are parameters.
 """
 
@@ -49,6 +49,8 @@ class TableSpec:
     schema: str
     table: str
     root: str | None = None
+    # Columns of the Parquet files; without them Spark reads a footer first.
+    columns: T.StructType | str | None = None
     jdbc_url: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
     source_type: str = SQL_TABLE
@@ -66,9 +68,10 @@ def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
         return spark.read.format("jdbc").options(**jdbc_options(spec)).load()
     if spec.root is None:
         raise ValueError(f"{spec.schema}.{spec.table} has neither a root nor an address")
-    return spark.read.options(**spec.options).parquet(
-        f"{spec.root.rstrip('/')}/{spec.table}.parquet"
-    )
+    reader = spark.read.options(**spec.options)
+    if spec.columns is not None:
+        reader = reader.schema(spec.columns)
+    return reader.parquet(f"{spec.root.rstrip('/')}/{spec.table}.parquet")
 
 
 def read_file(spark: SparkSession, spec: FileSpec) -> DataFrame:

@@ -32,7 +32,9 @@ class FrameTables:
 
     def bounds(self, source: Row) -> Bounds:
         """Lowest (not needed here) and highest mark."""
-        return None, high_mark(self.open_table(source), source.WatermarkColumn)
+        table = self.open_table(source)
+        old = source.LastWatermarkValue
+        return None, high_mark(table, source.WatermarkColumn, old)
 
     def window(self, source: Row, old: datetime | None, bounds: Bounds) -> DataFrame:
         return incremental_window(

@@ -100,8 +100,9 @@ def registry_from_metadata(spark, sf_dir):
 @query
 def copy_sql_window(spark, sf_dir):
     orders = t.orders(spark, sf_dir)
-    high = w.high_mark(orders, "UpdatedAt")
-    window = w.incremental_window(orders, "UpdatedAt", t.MARKS[t.ORDERS], high)
+    old = t.MARKS[t.ORDERS]
+    high = w.high_mark(orders, "UpdatedAt", old)
+    window = w.incremental_window(orders, "UpdatedAt", old, high)
     path = run_folder(f"{scratch(spark)}/bronze", "sqlserver/sales_local/dbo/orders", "1")
     copy_window(window, path)
     return spark.read.schema(window.schema).parquet(path)
@@ -174,10 +175,10 @@ def current_high_watermark(spark, sf_dir):
 @query
 def incremental_window(spark, sf_dir):
     payments = t.payments(spark, sf_dir)
-    high = w.high_mark(payments, "UpdatedAt")
-    return w.incremental_window(
-        payments, "UpdatedAt", t.MARKS[t.PAYMENTS], high
-    ).select("event_id", "user_id", "value", "UpdatedAt")
+    old = t.MARKS[t.PAYMENTS]
+    high = w.high_mark(payments, "UpdatedAt", old)
+    window = w.incremental_window(payments, "UpdatedAt", old, high)
+    return window.select("event_id", "user_id", "value", "UpdatedAt")
 
 
 @query

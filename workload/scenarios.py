@@ -38,7 +38,7 @@ REFUNDED = datetime(2024, 2, 1)
 
 
 def _window(df: DataFrame, old: datetime) -> DataFrame:
-    return incremental_window(df, "UpdatedAt", old, high_mark(df, "UpdatedAt"))
+    return incremental_window(df, "UpdatedAt", old, high_mark(df, "UpdatedAt", old))
 
 
 def insert(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,8 +47,25 @@ NOW = datetime(2024, 6, 1, 12, 0, 0)
 VIOLATION_FROM = 100.0
 
 
+COLUMNS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, "
+    "l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+    "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, "
+    "p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_source(spark, TableSpec("dbo", name, root=sf_dir))
+    spec = TableSpec("dbo", name, root=sf_dir, columns=COLUMNS[name])
+    return read_source(spark, spec)
 
 
 # --- Watermarked sources ------------------------------------------------------
@@ -165,48 +182,37 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _logged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("event_type")
-    source_id = (F.lit(1) + F.col("user_id") % F.lit(5)).cast("int")
-    name = F.lit(None).cast("string")
-    for number, text in NAMES.items():
-        name = F.when(F.col("SourceObjectId") == number, text).otherwise(name)
-    status = (
-        F.when(kind == "error", m.FAILED)
-        .when(kind == "view", m.RUNNING)
-        .otherwise(m.SUCCEEDED)
-    )
-    done = F.col("Status") == m.SUCCEEDED
-    failed = F.col("Status") == m.FAILED
-    marked = done | (failed & (F.col("value") >= VIOLATION_FROM))
-    return (
+    names = " ".join(f"WHEN {number} THEN '{text}'" for number, text in NAMES.items())
+    events = (
         table(spark, sf_dir, "events")
-        .withColumns(
-            {
-                "SourceObjectId": source_id,
-                "Status": status,
-                "StartedAt": to_millis("ts"),
-            }
-        )
-        .select(
-            "event_id",
-            F.col("event_id").cast("string").alias("RunId"),
-            "SourceObjectId",
-            F.col("user_id").cast("string").alias("PipelineRunId"),
-            name.alias("SourceObjectName"),
-            "Status",
-            ntz(datetime(2024, 1, 1)).alias("OldWatermarkValue"),
-            F.col("StartedAt").alias("CurrentHighWatermarkValue"),
-            F.when(marked, F.col("StartedAt")).alias("NewWatermarkValue"),
-            F.floor("value").cast("bigint").alias("RowsRead"),
-            F.when(done, F.floor("value").cast("bigint")).alias("RowsCopied"),
-            F.when(failed, F.col("props")).alias("ErrorMessage"),
-            "StartedAt",
-            F.when(
-                F.col("Status") != m.RUNNING,
-                F.col("StartedAt") + F.expr("INTERVAL '1' MINUTE"),
-            ).alias("EndedAt"),
+        .withColumn("StartedAt", to_millis("ts"))
+        .selectExpr(
+            "*",
+            "CAST(1 + user_id % 5 AS INT) AS SourceObjectId",
+            f"""CASE event_type WHEN 'error' THEN '{m.FAILED}'
+                WHEN 'view' THEN '{m.RUNNING}' ELSE '{m.SUCCEEDED}' END AS Status""",
         )
     )
+    return events.selectExpr(
+        "event_id",
+        "CAST(event_id AS STRING) AS RunId",
+        "SourceObjectId",
+        "CAST(user_id AS STRING) AS PipelineRunId",
+        f"CASE SourceObjectId {names} END AS SourceObjectName",
+        "Status",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS OldWatermarkValue",
+        "StartedAt AS CurrentHighWatermarkValue",
+        f"""CASE WHEN Status = '{m.SUCCEEDED}'
+               OR (Status = '{m.FAILED}' AND value >= {VIOLATION_FROM})
+            THEN StartedAt END AS NewWatermarkValue""",
+        "CAST(floor(value) AS BIGINT) AS RowsRead",
+        f"""CASE WHEN Status = '{m.SUCCEEDED}' THEN CAST(floor(value) AS BIGINT) END
+            AS RowsCopied""",
+        f"CASE WHEN Status = '{m.FAILED}' THEN props END AS ErrorMessage",
+        "StartedAt",
+        f"""CASE WHEN Status <> '{m.RUNNING}' THEN StartedAt + INTERVAL '1' MINUTE END
+            AS EndedAt""",
+    )
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -217,6 +217,14 @@ def test_replay_of_an_entry_changes_nothing(spark, world):
     assert world.store.history().count() == 1
 
 
+def test_folders_of_other_runs_are_pruned(spark, world, capsys):
+    world.register(source_row())
+    world.tables["Orders"] = source(spark, DAY[1])
+    world.run()
+    world.bronze().explain("formatted")
+    assert "dynamicpruning" in capsys.readouterr().out
+
+
 # --- Streams ------------------------------------------------------------------
 
 

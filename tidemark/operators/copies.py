@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import CORRUPT_RECORD, CSV_FILE, JSON_FILE, SUCCEEDED
+from tidemark.operators.journals import at_most
 from tidemark.sources.readers import CSV_WRITE, FileSpec, read_with_rejects
 
 
@@ -79,8 +80,14 @@ def copy_file(
 
 
 def succeeded_only(bronze: DataFrame, runs: DataFrame, source_id) -> DataFrame:
-    """Bronze rows of succeeded runs of one source; `run_id` is the partition."""
+    """Bronze rows of succeeded runs of one source; `run_id` is the partition.
+
+    Run ids are broadcast when there are few enough, so that folders of other
+    runs are pruned and not read.
+    """
     good = runs.where(
         (F.col("Status") == SUCCEEDED) & (F.col("SourceObjectId") == F.lit(source_id))
     ).select(F.col("RunId").alias("run_id"))
+    if at_most(good):
+        good = F.broadcast(good)
     return bronze.join(good, "run_id", "left_semi")

@@ -436,11 +436,11 @@ ORACLES: dict[str, str] = {
     "scenario_refund": """
         SELECT 'Orders' AS SourceObjectName,
                TIMESTAMP '2001-08-01 00:00:00' AS OldWatermarkValue,
-               count(*) AS RowsCopied,
+               count(*) AS RowsCopied, count(*) AS RowsRefunded,
                TIMESTAMP '2024-02-01 00:00:00' AS NewWatermarkValue
         FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'
         UNION ALL
-        SELECT 'Payments', TIMESTAMP '2024-01-31 00:00:00', count(*),
+        SELECT 'Payments', TIMESTAMP '2024-01-31 00:00:00', count(*), count(*),
                TIMESTAMP '2024-02-01 00:00:00'
         FROM events WHERE event_type = 'purchase' AND value >= 100""",
     "scenario_empty": f"""

@@ -22,7 +22,6 @@ from tidemark.operators.windows import (
     incremental_window,
     marks_of,
     next_mark,
-    pending_counts,
     union_all,
 )
 from tidemark.plans.checks import eligibility
@@ -70,13 +69,23 @@ def update(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refund(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and payments are refunded; both marks advance."""
     low = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
-    orders = t.orders(spark, sf_dir).withColumn(
-        "UpdatedAt", F.when(low, ntz(REFUNDED)).otherwise(F.col("UpdatedAt"))
+    orders = t.orders(spark, sf_dir).withColumns(
+        {
+            "o_orderstatus": F.when(low, "R").otherwise(F.col("o_orderstatus")),
+            "UpdatedAt": F.when(low, ntz(REFUNDED)).otherwise(F.col("UpdatedAt")),
+        }
     )
     large = F.col("value") >= 100
-    payments = t.payments(spark, sf_dir).withColumn(
-        "UpdatedAt", F.when(large, ntz(REFUNDED)).otherwise(F.col("UpdatedAt"))
+    payments = t.payments(spark, sf_dir).withColumns(
+        {
+            "value": F.when(large, -F.col("value")).otherwise(F.col("value")),
+            "UpdatedAt": F.when(large, ntz(REFUNDED)).otherwise(F.col("UpdatedAt")),
+        }
     )
+    refunded = {
+        t.ORDERS: F.col("o_orderstatus") == "R",
+        t.PAYMENTS: F.col("value") < 0,
+    }
     sources = {t.ORDERS: orders, t.PAYMENTS: payments}
     registry = t.registry(
         spark, {t.ORDERS: LOADED, t.PAYMENTS: datetime(2024, 1, 31)}
@@ -92,7 +101,10 @@ def refund(spark: SparkSession, sf_dir: str) -> DataFrame:
         [
             incremental_window(
                 sources[mark.source_id], mark.column, mark.value, highs[mark.source_id]
-            ).select(F.lit(mark.source_id).alias("SourceObjectId"))
+            ).select(
+                F.lit(mark.source_id).alias("SourceObjectId"),
+                refunded[mark.source_id].alias("Refunded"),
+            )
             for mark in marks
         ]
     )
@@ -102,7 +114,10 @@ def refund(spark: SparkSession, sf_dir: str) -> DataFrame:
         advanced = F.when(
             F.col("SourceObjectId") == mark.source_id, ntz(new)
         ).otherwise(advanced)
-    copied = windows.groupBy("SourceObjectId").agg(F.count(F.lit(1)).alias("RowsCopied"))
+    copied = windows.groupBy("SourceObjectId").agg(
+        F.count(F.lit(1)).alias("RowsCopied"),
+        F.count_if("Refunded").alias("RowsRefunded"),
+    )
     applied = copied.select(
         F.col("SourceObjectId").cast("bigint").alias("WatermarkHistoryId"),
         "SourceObjectId",
@@ -120,6 +135,7 @@ def refund(spark: SparkSession, sf_dir: str) -> DataFrame:
             "SourceObjectName",
             F.col("LastWatermarkValue").alias("OldWatermarkValue"),
             "RowsCopied",
+            "RowsRefunded",
             "NewWatermarkValue",
         )
     )

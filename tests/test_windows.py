@@ -127,13 +127,37 @@ def test_each_source_uses_its_own_watermark_column(spark):
     counts = dict(map(tuple, w.pending_counts(sources, reg).collect()))
     assert counts == {1: 2, 2: 1}
     rows = w.eligible_rows(sources, reg).collect()
-    assert sorted((r.SourceObjectName, r.UpdatedAt) for r in rows) == [
-        ("A", DAY[2]),
-        ("A", DAY[3]),
-        ("B", DAY[4]),
+    assert sorted((r.SourceObjectId, r.UpdatedAt) for r in rows) == [
+        (1, DAY[2]),
+        (1, DAY[3]),
+        (2, DAY[4]),
     ]
 
 
+ROWS = st.lists(st.tuples(st.integers(1, 4), st.one_of(st.none(), INSTANT)), max_size=15)
+MARKS = st.tuples(*[st.one_of(st.none(), st.just(m.SENTINEL), MARK)] * 3)
+
+
+@pytest.mark.parametrize("small", [True, False])
+@RELAXED
+@given(rows=ROWS, marks=MARKS)
+def test_shared_rows_give_the_same_as_tables_of_their_own(spark, small, rows, marks):
+    """Source 4 is not registered; source 3 is hot when most rows fall to it."""
+    reg = registry(spark, *[source_row(i, f"T{i}", marks[i - 1]) for i in (1, 2, 3)])
+    shared = spark.createDataFrame(rows, "SourceObjectId int, UpdatedAt timestamp_ntz")
+    own = {i: shared.where(F.col("SourceObjectId") == i) for i in (1, 2, 3, 4)}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(w, "at_most", lambda df, rows: small)
+        for operator in (
+            w.current_high_watermark,
+            w.source_stats,
+            w.pending_counts,
+            w.eligible_rows,
+        ):
+            got = sorted(map(str, operator(shared, reg).collect()))
+            assert got == sorted(map(str, operator(own, reg).collect()))
+
+
 def test_no_sources_at_all(spark):
     reg = registry(spark, source_row())
     assert w.source_stats({}, reg).count() == 0

@@ -1,10 +1,15 @@
 """High marks, pending rows and incremental windows.
 
-A source is a DataFrame with one watermark column. Functions that look at many
-sources take `{SourceObjectId: DataFrame}` and read each source once, without
-shuffling its rows: each partition reduces to one row per source before the
-exchange. Marks enter the plan as literals, looked up for the ids in the
-mapping only, so the lookup is never larger than the mapping the caller built.
+Functions that look at many sources take them in one of two forms:
+
+- `{SourceObjectId: DataFrame}`, for tables of their own. Marks and watermark
+  columns are looked up for the ids in the mapping only, so the lookup is never
+  larger than the mapping the caller built, and enter the plan as literals.
+- one DataFrame with `SourceObjectId` and `UpdatedAt`, for any number of sources
+  that share a place. Marks are joined.
+
+Either way each source is read once and its rows are not shuffled: a partition
+reduces to one row per source before the exchange.
 """
 
 from __future__ import annotations
@@ -18,8 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import above, count_where, to_millis, up_to
+from tidemark.operators.journals import at_most
 
-Sources = Mapping[int, DataFrame]
+Sources = Mapping[int, DataFrame] | DataFrame
+
+# Marks are two numbers per source, so more of them may be broadcast.
+BROADCAST_MARKS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -36,7 +45,7 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def marks_of(registry: DataFrame, sources: Sources) -> list[Mark]:
+def marks_of(registry: DataFrame, sources: Mapping[int, DataFrame]) -> list[Mark]:
     """Marks of the mapped sources; ids without a registry row are left out."""
     rows = (
         registry.where(F.col("SourceObjectId").isin(list(sources)))
@@ -51,40 +60,67 @@ def marks_of(registry: DataFrame, sources: Sources) -> list[Mark]:
     return [Mark(*row) for row in rows]
 
 
-def _per_source(marks: list[Mark], sources: Sources, **columns) -> DataFrame | None:
-    """Tag each source with its id and union them on the given columns."""
-    if not marks:
-        return None
-    return union_all(
-        [
-            sources[m.source_id].select(
-                F.lit(m.source_id).alias("SourceObjectId"),
-                *[make(m).alias(name) for name, make in columns.items()],
+def tag(
+    sources: Sources, registry: DataFrame, pending_only: bool = False
+) -> DataFrame:
+    """Rows of all registered sources: SourceObjectId, UpdatedAt, Pending.
+
+    With `pending_only`, rows at or below their mark are left out, at the scan
+    where marks are literals.
+    """
+    if isinstance(sources, DataFrame):
+        return _tag_shared(sources, registry, pending_only)
+    frames = []
+    for mark in marks_of(registry, sources):
+        value = F.col(mark.column)
+        pending = above(value, mark.value)
+        rows = sources[mark.source_id]
+        frames.append(
+            (rows.where(pending) if pending_only else rows).select(
+                F.lit(mark.source_id).alias("SourceObjectId"),
+                value.alias("UpdatedAt"),
+                pending.alias("Pending"),
             )
-            for m in marks
-        ]
+        )
+    if not frames:
+        return registry.sparkSession.createDataFrame(
+            [], "SourceObjectId int, UpdatedAt timestamp_ntz, Pending boolean"
+        )
+    return union_all(frames)
+
+
+def _tag_shared(
+    rows: DataFrame, registry: DataFrame, pending_only: bool
+) -> DataFrame:
+    first_pending = to_millis("LastWatermarkValue") + F.expr("INTERVAL '0.001' SECOND")
+    marks = registry.select("SourceObjectId", first_pending.alias("FirstPending"))
+    # Beyond the bound rows are shuffled by source. A source that owns most of
+    # them is then split by the skew join, as its mark is a single row.
+    if at_most(marks, BROADCAST_MARKS):
+        marks = F.broadcast(marks)
+    tagged = (
+        rows.select("SourceObjectId", "UpdatedAt")
+        .join(marks, "SourceObjectId")
+        .select(
+            "SourceObjectId",
+            "UpdatedAt",
+            (F.col("UpdatedAt") >= F.col("FirstPending")).alias("Pending"),
+        )
     )
+    return tagged.where("Pending") if pending_only else tagged
 
 
-def _value(mark: Mark) -> Column:
-    return F.col(mark.column)
+def _high() -> Column:
+    # The cut is monotone, so it is made once per source and not per row.
+    return to_millis(F.max("UpdatedAt")).alias("CurrentHighWatermarkValue")
 
 
 def current_high_watermark(sources: Sources, registry: DataFrame) -> DataFrame:
     """Highest mark in each source: (SourceObjectId, CurrentHighWatermarkValue).
 
-    An empty source has no row. The cut to milliseconds is monotone, so it is
-    applied to the maximum instead of to every row.
+    An empty source has no row.
     """
-    marks = marks_of(registry, sources)
-    tagged = _per_source(marks, sources, UpdatedAt=_value)
-    if tagged is None:
-        return _empty(
-            registry, "SourceObjectId int, CurrentHighWatermarkValue timestamp_ntz"
-        )
-    return tagged.groupBy("SourceObjectId").agg(
-        to_millis(F.max("UpdatedAt")).alias("CurrentHighWatermarkValue")
-    )
+    return tag(sources, registry).groupBy("SourceObjectId").agg(_high())
 
 
 def source_stats(sources: Sources, registry: DataFrame) -> DataFrame:
@@ -93,20 +129,8 @@ def source_stats(sources: Sources, registry: DataFrame) -> DataFrame:
     Columns: SourceObjectId, CurrentHighWatermarkValue, Eligible_Row_Count. An
     empty source has no row.
     """
-    marks = marks_of(registry, sources)
-    tagged = _per_source(
-        marks, sources, UpdatedAt=_value, Pending=lambda m: above(_value(m), m.value)
-    )
-    if tagged is None:
-        return _empty(
-            registry,
-            "SourceObjectId int, CurrentHighWatermarkValue timestamp_ntz, "
-            "Eligible_Row_Count bigint",
-        )
-    return tagged.groupBy("SourceObjectId").agg(
-        to_millis(F.max("UpdatedAt")).alias("CurrentHighWatermarkValue"),
-        count_where(F.col("Pending")).alias("Eligible_Row_Count"),
-    )
+    pending = count_where(F.col("Pending")).alias("Eligible_Row_Count")
+    return tag(sources, registry).groupBy("SourceObjectId").agg(_high(), pending)
 
 
 def pending_counts(sources: Sources, registry: DataFrame) -> DataFrame:
@@ -115,41 +139,18 @@ def pending_counts(sources: Sources, registry: DataFrame) -> DataFrame:
     Unlike `source_stats` this needs no maximum, so the bound goes down to the
     scan and files below the mark are skipped.
     """
-    marks = marks_of(registry, sources)
-    frames = [
-        sources[m.source_id]
-        .where(above(_value(m), m.value))
-        .select(F.lit(m.source_id).alias("SourceObjectId"))
-        for m in marks
-    ]
-    if not frames:
-        return _empty(registry, "SourceObjectId int, Eligible_Row_Count bigint")
     return (
-        union_all(frames)
+        tag(sources, registry, pending_only=True)
         .groupBy("SourceObjectId")
         .agg(F.count(F.lit(1)).alias("Eligible_Row_Count"))
     )
 
 
 def eligible_rows(sources: Sources, registry: DataFrame) -> DataFrame:
-    """The pending rows themselves: (SourceObjectId, SourceObjectName, UpdatedAt)."""
-    marks = marks_of(registry, sources)
-    frames = [
-        sources[m.source_id]
-        .where(above(_value(m), m.value))
-        .select(
-            F.lit(m.source_id).alias("SourceObjectId"),
-            F.lit(m.name).alias("SourceObjectName"),
-            to_millis(m.column).alias("UpdatedAt"),
-        )
-        for m in marks
-    ]
-    if not frames:
-        return _empty(
-            registry,
-            "SourceObjectId int, SourceObjectName string, UpdatedAt timestamp_ntz",
-        )
-    return union_all(frames)
+    """The pending rows themselves: (SourceObjectId, UpdatedAt)."""
+    return tag(sources, registry, pending_only=True).select(
+        "SourceObjectId", to_millis("UpdatedAt").alias("UpdatedAt")
+    )
 
 
 def high_mark(
@@ -191,7 +192,3 @@ def next_mark(old: datetime | None, high: datetime | None) -> datetime | None:
     """The mark after a good run: never moves back, skips a missing high."""
     known = [mark for mark in (old, high) if mark is not None]
     return max(known) if known else None
-
-
-def _empty(registry: DataFrame, schema: str) -> DataFrame:
-    return registry.sparkSession.createDataFrame([], schema)

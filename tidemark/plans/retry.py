@@ -24,7 +24,10 @@ def retry_validation(
     mine = F.col("SourceObjectId") == F.lit(source_id)
     one = registry.where(mine)
     own_runs = runs.where(mine)
-    own = {i: df for i, df in sources.items() if i == source_id}
+    if isinstance(sources, DataFrame):
+        own = sources.where(mine)
+    else:
+        own = {i: df for i, df in sources.items() if i == source_id}
     return {
         "readiness": checks.retry_readiness(own, one),
         "failed_run": checks.failed_run_check(own_runs),

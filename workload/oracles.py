@@ -106,6 +106,7 @@ catalog AS (
          c_name AS SourceObjectName, c_acctbal >= 0 AS IsActive,
          CASE WHEN c_mktsegment = 'BUILDING' THEN {SENTINEL}
               WHEN c_mktsegment = 'MACHINERY' AND c_acctbal < 0 THEN NULL
+              WHEN c_mktsegment = 'AUTOMOBILE' THEN TIMESTAMP '2000-01-01 00:00:00'
               ELSE coalesce(UpdatedAt, {SENTINEL}) END AS LastWatermarkValue,
          'bronze' AS DestinationContainer,
          lower('sqlserver/' || c_mktsegment || '/dbo/' || c_name) AS DestinationFolder,
@@ -126,6 +127,17 @@ WITH_RUNS = given(RUNS)
 WITH_HISTORY = given(REGISTRY, RUNS, HISTORY)
 WITH_TRACES = given(REGISTRY, RUNS, HISTORY, LATEST_FAILED, TRACES)
 WITH_CATALOG = given(CATALOG)
+MANY = """
+many AS (
+  SELECT SourceObjectId, max(o_orderdate) AS CurrentHighWatermarkValue,
+         CAST(sum(CASE WHEN o_orderdate > LastWatermarkValue THEN 1 ELSE 0 END)
+              AS BIGINT) AS Eligible_Row_Count
+  FROM catalog JOIN orders ON o_custkey = SourceObjectId
+  WHERE SourceType = 'SQL_TABLE'
+  GROUP BY SourceObjectId)
+"""
+
+WITH_MANY = given(CATALOG, MANY)
 WITH_ALL = given(
     REGISTRY, SOURCES, STATS, RUNS, HISTORY, LATEST_FAILED, TRACES
 )
@@ -240,7 +252,7 @@ ORACLES: dict[str, str] = {
     # --- Windows and marks
     "p_eligible_rows": given(REGISTRY, SOURCES)
     + """
-        SELECT SourceObjectId, SourceObjectName, UpdatedAt
+        SELECT SourceObjectId, UpdatedAt
         FROM changes JOIN registry USING (SourceObjectId)
         WHERE UpdatedAt > LastWatermarkValue""",
     "current_high_watermark": WITH_STATS
@@ -425,6 +437,25 @@ ORACLES: dict[str, str] = {
         LEFT JOIN run_counts USING (SourceObjectId)
         LEFT JOIN marks USING (SourceObjectId)
         ORDER BY SourceObjectName""",
+    # --- Checks over one source per customer
+    "v2_eligibility_many_sources": WITH_MANY
+    + f"""
+        SELECT SourceObjectName, LastWatermarkValue, CurrentHighWatermarkValue,
+               Eligible_Row_Count, {EMPTY_STATUS} AS Validation_Status
+        FROM many JOIN catalog USING (SourceObjectId)""",
+    "v8_retry_rows_many_sources": WITH_MANY
+    + f"""
+        SELECT SourceObjectName, LastWatermarkValue, CurrentHighWatermarkValue,
+               Eligible_Row_Count,
+               CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{m.NOT_READY}'
+                    WHEN Eligible_Row_Count > 0 THEN '{m.PASS_ROWS_ELIGIBLE}'
+                    ELSE '{m.NO_ROWS_PENDING}' END AS Validation_Status
+        FROM catalog LEFT JOIN many USING (SourceObjectId)
+        WHERE SourceType = 'SQL_TABLE'""",
+    "pending_many_sources": WITH_MANY
+    + """
+        SELECT SourceObjectId, Eligible_Row_Count FROM many
+        WHERE Eligible_Row_Count > 0""",
     # --- Scenarios
     "scenario_insert": """
         SELECT o_orderkey, o_totalprice, o_orderdate AS UpdatedAt

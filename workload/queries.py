@@ -363,6 +363,27 @@ def operational_summary(spark, sf_dir):
     )
 
 
+# --- Checks over one source per customer -------------------------------------
+
+
+@query
+def v2_eligibility_many_sources(spark, sf_dir):
+    return c.eligibility(t.customer_changes(spark, sf_dir), t.catalog(spark, sf_dir))
+
+
+@query
+def v8_retry_rows_many_sources(spark, sf_dir):
+    return c.retry_eligible_rows(
+        t.customer_changes(spark, sf_dir), t.catalog(spark, sf_dir)
+    )
+
+
+@query
+def pending_many_sources(spark, sf_dir):
+    registry = r.sql_sources(t.catalog(spark, sf_dir))
+    return w.pending_counts(t.customer_changes(spark, sf_dir), registry)
+
+
 # --- Scenarios ----------------------------------------------------------------
 
 QUERIES.update(

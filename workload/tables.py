@@ -156,6 +156,7 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     mark = (
         F.when(segment == "BUILDING", ntz(m.SENTINEL))
         .when((segment == "MACHINERY") & (F.col("c_acctbal") < 0), ntz(None))
+        .when(segment == "AUTOMOBILE", ntz(datetime(2000, 1, 1)))
         .otherwise(F.coalesce("UpdatedAt", ntz(m.SENTINEL)))
     )
     return customers(spark, sf_dir).select(
@@ -178,6 +179,14 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of all catalog sources: a customer's orders."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("SourceObjectId"),
+        F.col("o_orderdate").alias("UpdatedAt"),
+    )
+
+
 # --- A run log and a history that grow: one run per event ---------------------
 
 

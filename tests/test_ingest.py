@@ -6,7 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tests.samples import CURRENCY_RATES, DAMAGED_RATES, DAY, MANUAL_ADJUSTMENTS
+from tests.samples import COUNTRY_CURRENCY, CURRENCY_RATES, DAMAGED_RATES, DAY
+from tests.samples import MANUAL_ADJUSTMENTS
 from tests.samples import registry, source, source_row, write_samples
 from tidemark import model as m
 from tidemark.operators.copies import succeeded_only
@@ -225,6 +226,70 @@ def test_folders_of_other_runs_are_pruned(spark, world, capsys):
     assert "dynamicpruning" in capsys.readouterr().out
 
 
+def files_of(world):
+    return list(Path(f"{world.base}/metadata").rglob("generation=*/*/*.parquet"))
+
+
+def test_compaction_keeps_every_state(spark, world, base):
+    world.register(source_row(), source_row(4, "OrderItems"))
+    world.tables = {"Orders": source(spark, DAY[1]), "OrderItems": source(spark, DAY[2])}
+    world.run()
+    world.register(source_row(4, "OrderItems", IsActive=False), version=2)
+    world.run()
+
+    def states():
+        store = world.store
+        return [
+            sorted(map(str, df.collect()))
+            for df in (store.registry(), store.runs(), store.history())
+        ]
+
+    before = states()
+    many = len(files_of(world))
+    world.store.compact()
+    assert states() == before
+    current = [f for f in files_of(world) if "generation=1" in str(f)]
+    assert len(current) < many
+    assert ControlStore(spark, base).generation() == 1
+
+    world.tables["Orders"] = source(spark, DAY[1], DAY[3])
+    (outcome,) = world.run()
+    assert outcome.rows_copied == 1
+    assert world.source().LastWatermarkValue == DAY[3]
+    assert ControlStore(spark, base).runs().count() == 4
+
+
+def test_unfinished_compaction_does_not_count(spark, world, base, monkeypatch):
+    world.register(source_row())
+    world.tables["Orders"] = source(spark, DAY[1])
+    world.run()
+
+    def crash(self, generation):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ControlStore, "_begin", crash)
+        with pytest.raises(RuntimeError):
+            world.store.compact()
+    again = ControlStore(spark, base)
+    assert again.generation() == 0
+    assert again.runs().count() == 1
+    again.compact()
+    assert again.runs().count() == 1
+    assert again.history().count() == 1
+
+
+def test_stream_refuses_a_wrong_header(spark, world, tmp_path):
+    landing, step = stream_world(
+        world, tmp_path, m.CSV_FILE, "files/csv/rates", m.CURRENCY_RATES
+    )
+    (landing / "a.csv").write_text(COUNTRY_CURRENCY)
+    with pytest.raises(Exception, match="header"):
+        step()
+    (run,) = world.store.runs().collect()
+    assert run.Status == m.FAILED
+
+
 # --- Streams ------------------------------------------------------------------
 
 

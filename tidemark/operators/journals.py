@@ -44,18 +44,26 @@ def latest_per_key(df: DataFrame, key: str, *order: Column) -> DataFrame:
     )
 
 
-def run_state(journal: DataFrame) -> DataFrame:
-    """One row per run, in its last journalled state."""
-    state = latest_per_key(
+def last_run_rows(journal: DataFrame) -> DataFrame:
+    """The last journal row of each run."""
+    return latest_per_key(
         journal, "RunId", F.col("Seq").desc(), F.col("EndedAt").desc_nulls_last()
     )
-    return state.select(INGESTION_RUN.names)
+
+
+def run_state(journal: DataFrame) -> DataFrame:
+    """One row per run, in its last journalled state."""
+    return last_run_rows(journal).select(INGESTION_RUN.names)
+
+
+def last_source_rows(journal: DataFrame) -> DataFrame:
+    """The last journal row of each source."""
+    return latest_per_key(journal, "SourceObjectId", F.col("Version").desc())
 
 
 def registry_state(journal: DataFrame) -> DataFrame:
     """One row per source, as last changed."""
-    state = latest_per_key(journal, "SourceObjectId", F.col("Version").desc())
-    return state.select(SOURCE_OBJECT.names)
+    return last_source_rows(journal).select(SOURCE_OBJECT.names)
 
 
 def watermark_state(registry: DataFrame, history: DataFrame) -> DataFrame:

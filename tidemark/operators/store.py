@@ -5,6 +5,9 @@ entry has a folder of its own, named by what it records. Writing an entry again
 replaces that entry only, which makes replays harmless, and two loads that
 append at the same time never share an output folder. Each table has one writer
 per source at a time.
+
+Entries are small files. `compact` gathers them into a new generation, which
+the journals then continue in.
 """
 
 from __future__ import annotations
@@ -13,7 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import RUN_JOURNAL, SOURCE_JOURNAL, WATERMARK_HISTORY
-from tidemark.operators.journals import registry_state, run_state, watermark_state
+from tidemark.operators.journals import (
+    last_source_rows,
+    last_run_rows,
+    registry_state,
+    run_state,
+    watermark_state,
+)
 from tidemark.sources.zones import zone
 
 TABLES = {
@@ -29,20 +38,17 @@ class ControlStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base
-
-    def path(self, table: str) -> str:
-        return f"{zone(self.base, 'metadata')}/{table}"
+        self._generation: int | None = None
 
     def create(self) -> ControlStore:
         """Write an empty first entry to each journal, so all can be read."""
         for table, schema in TABLES.items():
-            self.append(table, self.spark.createDataFrame([], schema), "created")
+            self._write(table, self.spark.createDataFrame([], schema), 0, "created")
+        self._begin(0)
         return self
 
     def append(self, table: str, rows: DataFrame, entry: str) -> None:
-        rows.to(TABLES[table]).write.mode("overwrite").parquet(
-            f"{self.path(table)}/entry={entry}"
-        )
+        self._write(table, rows, self.generation(), entry)
 
     def append_rows(self, table: str, rows: list[dict], entry: str) -> None:
         frame = self.spark.createDataFrame(
@@ -55,7 +61,7 @@ class ControlStore:
         return (
             self.spark.read.schema(TABLES[table])
             .option("recursiveFileLookup", True)
-            .parquet(self.path(table))
+            .parquet(self._path(table, self.generation()))
         )
 
     def runs(self) -> DataFrame:
@@ -76,3 +82,49 @@ class ControlStore:
             registry.withColumn("Version", F.lit(version).cast("bigint")),
             f"version-{version}",
         )
+
+    # --- Generations ----------------------------------------------------------
+
+    def generation(self) -> int:
+        """The generation in use; looked up once per store object."""
+        if self._generation is None:
+            begun = self.spark.read.schema("Generation int").option(
+                "recursiveFileLookup", True
+            )
+            self._generation = (
+                begun.parquet(self._generations()).agg(F.max("Generation")).first()[0]
+            )
+        return self._generation
+
+    def compact(self) -> None:
+        """Gather all entries into few files, as a new generation.
+
+        To be called while no load runs; other store objects have to be made
+        anew afterwards. The new generation counts only once it is written in
+        full. The old one is left where it is.
+        """
+        kept = {
+            "source_object": last_source_rows(self.journal("source_object")),
+            "ingestion_run": last_run_rows(self.journal("ingestion_run")),
+            "watermark_history": self.journal("watermark_history"),
+        }
+        following = self.generation() + 1
+        for table, rows in kept.items():
+            self._write(table, rows.hint("rebalance"), following, "compacted")
+        self._begin(following)
+
+    def _begin(self, generation: int) -> None:
+        row = self.spark.createDataFrame([(generation,)], "Generation int").coalesce(1)
+        row.write.mode("overwrite").parquet(f"{self._generations()}/entry={generation}")
+        self._generation = generation
+
+    def _generations(self) -> str:
+        return f"{zone(self.base, 'metadata')}/generations"
+
+    def _path(self, table: str, generation: int) -> str:
+        return f"{zone(self.base, 'metadata')}/{table}/generation={generation}"
+
+    def _write(self, table: str, rows: DataFrame, generation: int, entry: str) -> None:
+        rows.to(TABLES[table]).write.mode("overwrite").parquet(
+            f"{self._path(table, generation)}/entry={entry}"
+        )

@@ -11,9 +11,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from tidemark.functions.marks import MILLISECOND, floor_millis
 from tidemark.model import CORRUPT_RECORD, CSV_FILE, JSON_FILE, SQL_TABLE
@@ -76,44 +77,46 @@ def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 def read_file(spark: SparkSession, spec: FileSpec) -> DataFrame:
     """Typed rows; the first line or document that does not fit fails the read."""
-    return _load(spark, spec, spec.schema, "FAILFAST")
+    options = {**file_options(spec), "mode": "FAILFAST"}
+    return load_file(spark.read.schema(spec.schema).options(**options), spec)
 
 
 def read_with_rejects(spark: SparkSession, spec: FileSpec) -> DataFrame:
     """Typed rows plus the raw text of those that do not fit (else NULL)."""
-    schema = T.StructType(
+    options = file_options(spec)
+    return load_file(spark.read.schema(with_reject(spec)).options(**options), spec)
+
+
+def with_reject(spec: FileSpec) -> T.StructType:
+    """The schema of the file, and a column for what does not fit it."""
+    return T.StructType(
         spec.schema.fields + [T.StructField(CORRUPT_RECORD, T.StringType())]
     )
-    return _load(spark, spec, schema, "PERMISSIVE")
 
 
-def _load(
-    spark: SparkSession, spec: FileSpec, schema: T.StructType, mode: str
-) -> DataFrame:
-    reader = (
-        spark.read.schema(schema)
-        .option("mode", mode)
-        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-    )
+def file_options(spec: FileSpec) -> dict[str, str | bool]:
+    """Options of a file reader, for batches and streams."""
+    common = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
     if spec.source_type == CSV_FILE:
         # Header names are checked against the schema, and all columns are
         # parsed: with pruning, a bad value in an unused column goes unseen.
-        return (
-            reader.options(**CSV_READ)
-            .option("header", spec.header)
-            .option("enforceSchema", not spec.header)
-            .option("columnPruning", False)
-            .options(**spec.options)
-            .csv(spec.path)
-        )
-    if spec.source_type == JSON_FILE:
-        return (
-            reader.option("multiLine", spec.multi_line)
-            .option("timeZone", "UTC")
-            .options(**spec.options)
-            .json(spec.path)
-        )
-    raise ValueError(f"no file reader for source type {spec.source_type!r}")
+        own = {
+            **CSV_READ,
+            "header": spec.header,
+            "enforceSchema": not spec.header,
+            "columnPruning": False,
+        }
+    elif spec.source_type == JSON_FILE:
+        own = {"multiLine": spec.multi_line, "timeZone": "UTC"}
+    else:
+        raise ValueError(f"no file reader for source type {spec.source_type!r}")
+    return {**common, **own, **spec.options}
+
+
+def load_file(
+    reader: DataFrameReader | DataStreamReader, spec: FileSpec
+) -> DataFrame:
+    return reader.csv(spec.path) if spec.source_type == CSV_FILE else reader.json(spec.path)
 
 
 def flag_columns(df: DataFrame, *columns: str) -> DataFrame:

@@ -7,41 +7,27 @@ files, and writes the same run folder and journal entries again.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import types as T
 
-from tidemark.model import CORRUPT_RECORD, CSV_FILE, JSON_FILE
 from tidemark.operators.copies import Counts, copy_frame, run_folder
 from tidemark.operators.store import ControlStore
 from tidemark.plans.ingest import Clock, RunLog, utc_now
-from tidemark.sources.readers import CSV_READ, FileSpec
+from tidemark.sources.readers import (
+    FileSpec,
+    file_options,
+    load_file,
+    with_reject,
+)
 from tidemark.sources.zones import zone
 
 
 def landing_stream(spark: SparkSession, spec: FileSpec) -> DataFrame:
-    """Files as they arrive; misfits keep their raw text."""
-    schema = T.StructType(
-        spec.schema.fields + [T.StructField(CORRUPT_RECORD, T.StringType())]
-    )
-    reader = (
-        spark.readStream.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-        .options(**spec.options)
-    )
-    if spec.source_type == CSV_FILE:
-        return (
-            reader.options(**CSV_READ)
-            .option("header", spec.header)
-            .option("columnPruning", False)
-            .csv(spec.path)
-        )
-    if spec.source_type == JSON_FILE:
-        return (
-            reader.option("multiLine", spec.multi_line)
-            .option("timeZone", "UTC")
-            .json(spec.path)
-        )
-    raise ValueError(f"no file stream for source type {spec.source_type!r}")
+    """Files as they arrive; misfits keep their raw text.
+
+    A large backlog is cut into batches with `maxFilesPerTrigger` in the spec's
+    options.
+    """
+    reader = spark.readStream.schema(with_reject(spec)).options(**file_options(spec))
+    return load_file(reader, spec)
 
 
 def ingest_new_files(

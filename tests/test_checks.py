@@ -1,5 +1,6 @@
 """The state table of the checks, and the answers that are easily got wrong."""
 
+from contextlib import contextmanager
 from datetime import datetime
 
 import pytest
@@ -7,7 +8,7 @@ import pytest
 from tests.samples import DAY, ORDERS_ID, history, history_row, registry, run_row, runs
 from tests.samples import source, source_row
 from tidemark import model as m
-from tidemark.operators import journals
+from tidemark.operators import joins, journals
 from tidemark.operators.registry import null_watermark_sources
 from tidemark.plans import checks
 from tidemark.plans.retry import retry_validation
@@ -226,8 +227,42 @@ def test_large_registry_takes_the_way_without_broadcast(spark, monkeypatch):
 
 
 def test_at_most(spark):
-    assert journals.at_most(spark.range(5), 5)
-    assert not journals.at_most(spark.range(6), 5)
+    assert joins.at_most(spark.range(5), 5)
+    assert not joins.at_most(spark.range(6), 5)
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+def test_salted_join_is_the_same_join(spark, how):
+    """Most rows share one key; some match nothing; the side has keys to spare."""
+    rows = spark.range(1000, numPartitions=7).selectExpr(
+        "CASE WHEN id < 700 THEN 0 ELSE id % 9 END AS k", "id"
+    )
+    side = spark.range(0, 12, 2).selectExpr("id AS k", "id * 10 AS v")
+    small = joins.join_side(rows, side, "k", how)
+    large = joins.join_side(rows, side, "k", how, bound=0)
+    assert small.columns == large.columns
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+
+
+def test_salted_join_leaves_partial_counts_below_the_exchange(spark, capsys):
+    rows = spark.range(1000).selectExpr("id % 2 AS k")
+    side = spark.range(2).selectExpr("id AS k", "id AS v")
+    with joined_without_broadcast(spark):
+        joined = joins.join_side(rows, side, "k", bound=0)
+        joined.groupBy("k").count().explain()
+        plan = capsys.readouterr().out
+    # A shuffle per side by (k, salt), one of partial counts by k.
+    assert plan.count("Exchange hashpartitioning(k") == 3
+    assert "partial_count" in plan
+
+
+@contextmanager
+def joined_without_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_failed_runs_split_by_history(spark):

@@ -17,7 +17,7 @@ from tidemark.operators import registry as r
 from tidemark.operators.copies import copy_file, write_file
 from tidemark.sources import readers
 from tidemark.sources.readers import FileSpec, TableSpec, read_source
-from tidemark.sources.tables import FrameTables, JdbcTables
+from tidemark.sources.tables import Bounds, FrameTables, JdbcTables
 from tidemark.sources.zones import scratch, zone
 
 
@@ -215,19 +215,30 @@ def test_jdbc_bounds_are_taken_by_the_database():
 
 def test_jdbc_ranges_start_at_the_data_not_at_the_sentinel(spark):
     tables = JdbcTables(spark, "jdbc:x", 16)
-    options = tables.window_options(ORDERS_ROW, m.SENTINEL, (DAY[2], DAY[5]))
+    options = tables.window_options(ORDERS_ROW, m.SENTINEL, Bounds(DAY[5], DAY[2]))
     assert options["dbtable"] == "dbo.Orders"
     assert options["partitionColumn"] == "UpdatedAt"
     assert options["lowerBound"] == "2026-01-02 00:00:00"
     assert options["upperBound"] == "2026-01-05 00:00:00.001000"
     assert options["numPartitions"] == "16"
-    later = tables.window_options(ORDERS_ROW, DAY[4], (DAY[2], DAY[5]))
+    later = tables.window_options(ORDERS_ROW, DAY[4], Bounds(DAY[5], DAY[2]))
     assert later["lowerBound"] == "2026-01-04 00:00:00"
 
 
+def test_jdbc_ranges_of_a_key_where_many_rows_share_a_mark(spark):
+    tables = JdbcTables(spark, "jdbc:x", 16, keys={"Orders": "OrderId"})
+    spec = tables.spec(ORDERS_ROW)
+    query = readers.jdbc_bounds_options(spec, "UpdatedAt", "OrderId")["query"]
+    assert query.endswith("MIN(OrderId) AS LowKey, MAX(OrderId) AS HighKey FROM dbo.Orders")
+    bounds = Bounds(DAY[5], DAY[2], 10, 99)
+    options = tables.window_options(ORDERS_ROW, m.SENTINEL, bounds)
+    assert options["partitionColumn"] == "OrderId"
+    assert (options["lowerBound"], options["upperBound"]) == ("10", "100")
+
+
 @pytest.mark.parametrize(
     ("old", "bounds"),
-    [(DAY[5], (DAY[2], DAY[5])), (None, (DAY[2], DAY[5])), (DAY[1], (None, None))],
+    [(DAY[5], Bounds(DAY[5], DAY[2])), (None, Bounds(DAY[5], DAY[2])), (DAY[1], Bounds())],
 )
 def test_jdbc_empty_window_has_no_ranges(spark, old, bounds):
     options = JdbcTables(spark, "jdbc:x", 16).window_options(ORDERS_ROW, old, bounds)
@@ -244,7 +255,7 @@ def test_frame_tables(spark):
     df = spark.createDataFrame([(DAY[1],), (DAY[3],)], "UpdatedAt timestamp_ntz")
     tables = FrameTables(lambda row: df)
     bounds = tables.bounds(ORDERS_ROW)
-    assert bounds == (None, DAY[3])
+    assert bounds == Bounds(DAY[3])
     assert tables.window(ORDERS_ROW, DAY[1], bounds).count() == 1
 
 

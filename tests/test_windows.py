@@ -11,6 +11,7 @@ from tests.samples import DAY, frame, history, history_row, registry, run_row, r
 from tests.samples import source, source_row
 from tidemark import model as m
 from tidemark.functions import above, ntz, to_millis, up_to
+from tidemark.operators import joins
 from tidemark.operators import journals as j
 from tidemark.operators import windows as w
 
@@ -147,7 +148,7 @@ def test_shared_rows_give_the_same_as_tables_of_their_own(spark, small, rows, ma
     shared = spark.createDataFrame(rows, "SourceObjectId int, UpdatedAt timestamp_ntz")
     own = {i: shared.where(F.col("SourceObjectId") == i) for i in (1, 2, 3, 4)}
     with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(w, "at_most", lambda df, rows: small)
+        patch.setattr(joins, "at_most", lambda df, rows: small)
         for operator in (
             w.current_high_watermark,
             w.source_stats,

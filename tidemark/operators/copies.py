@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import CORRUPT_RECORD, CSV_FILE, JSON_FILE, SUCCEEDED
-from tidemark.operators.journals import at_most
+from tidemark.operators.joins import join_side
 from tidemark.sources.readers import CSV_WRITE, FileSpec, read_with_rejects
 
 
@@ -88,6 +88,4 @@ def succeeded_only(bronze: DataFrame, runs: DataFrame, source_id) -> DataFrame:
     good = runs.where(
         (F.col("Status") == SUCCEEDED) & (F.col("SourceObjectId") == F.lit(source_id))
     ).select(F.col("RunId").alias("run_id"))
-    if at_most(good):
-        good = F.broadcast(good)
-    return bronze.join(good, "run_id", "left_semi")
+    return join_side(bronze, good, "run_id", "left_semi")

@@ -20,16 +20,6 @@ from tidemark.model import (
     SUCCEEDED,
 )
 
-# A side is broadcast only when it is known to have at most this many narrow
-# rows (an id and a RunId: some 20 MB); beyond it the plan has no hint.
-BROADCAST_ROWS = 200_000
-
-
-def at_most(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has no more than `rows` rows; stops counting beyond."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def latest_per_key(df: DataFrame, key: str, *order: Column) -> DataFrame:
     """The first row per key in the given order.
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import above, count_where, to_millis, up_to
-from tidemark.operators.journals import at_most
+from tidemark.operators.joins import join_side
 
 Sources = Mapping[int, DataFrame] | DataFrame
 
@@ -94,18 +94,15 @@ def _tag_shared(
 ) -> DataFrame:
     first_pending = to_millis("LastWatermarkValue") + F.expr("INTERVAL '0.001' SECOND")
     marks = registry.select("SourceObjectId", first_pending.alias("FirstPending"))
-    # Beyond the bound rows are shuffled by source. A source that owns most of
-    # them is then split by the skew join, as its mark is a single row.
-    if at_most(marks, BROADCAST_MARKS):
-        marks = F.broadcast(marks)
-    tagged = (
-        rows.select("SourceObjectId", "UpdatedAt")
-        .join(marks, "SourceObjectId")
-        .select(
-            "SourceObjectId",
-            "UpdatedAt",
-            (F.col("UpdatedAt") >= F.col("FirstPending")).alias("Pending"),
-        )
+    tagged = join_side(
+        rows.select("SourceObjectId", "UpdatedAt"),
+        marks,
+        "SourceObjectId",
+        bound=BROADCAST_MARKS,
+    ).select(
+        "SourceObjectId",
+        "UpdatedAt",
+        (F.col("UpdatedAt") >= F.col("FirstPending")).alias("Pending"),
     )
     return tagged.where("Pending") if pending_only else tagged
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark import model as m
 from tidemark.functions import is_sentinel
-from tidemark.operators.journals import at_most, latest_failed_run
+from tidemark.operators.joins import at_most
+from tidemark.operators.journals import latest_failed_run
 from tidemark.operators.registry import sql_sources
 from tidemark.operators.windows import (
     Sources,
@@ -22,10 +23,16 @@ from tidemark.operators.windows import (
 )
 
 
+# Reports are sorted by name. The id lets a sort split a name that many systems
+# share, and makes the order repeatable.
+BY_NAME = ("SourceObjectName", "SourceObjectId")
+
+
 def watermark_readiness(registry: DataFrame) -> DataFrame:
     """V1: has the initial load of each SQL source been done?"""
     return (
         sql_sources(registry)
+        .orderBy(*BY_NAME)
         .select(
             "SourceObjectName",
             "LastWatermarkValue",
@@ -33,7 +40,6 @@ def watermark_readiness(registry: DataFrame) -> DataFrame:
             .otherwise(m.READY_FOR_EMPTY_RUN)
             .alias("Readiness_Status"),
         )
-        .orderBy("SourceObjectName")
     )
 
 
@@ -47,6 +53,7 @@ def eligibility(sources: Sources, registry: DataFrame) -> DataFrame:
     return (
         source_stats(sources, sql)
         .join(sql, "SourceObjectId")
+        .orderBy(*BY_NAME)
         .select(
             "SourceObjectName",
             "LastWatermarkValue",
@@ -54,7 +61,6 @@ def eligibility(sources: Sources, registry: DataFrame) -> DataFrame:
             "Eligible_Row_Count",
             empty_run_status().alias("Validation_Status"),
         )
-        .orderBy("SourceObjectName")
     )
 
 
@@ -304,6 +310,7 @@ def operational_summary(
             "Empty_Run_Status", F.when(F.col("Eligible_Row_Count").isNotNull(), empty_run_status())
         )
         .fillna(0, [*counts, "Eligible_Row_Count"])
+        .orderBy(*BY_NAME)
         .select(
             "SourceObjectName",
             "LastWatermarkValue",
@@ -320,5 +327,4 @@ def operational_summary(
             F.col("History_Rows").alias("Failed_Run_WatermarkHistory_Count"),
             retry_status().alias("Retry_Status"),
         )
-        .orderBy("SourceObjectName")
     )

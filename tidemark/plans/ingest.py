@@ -26,7 +26,7 @@ from tidemark.operators.registry import SQL_ROUTE, active_sources, route_of
 from tidemark.operators.store import ControlStore
 from tidemark.operators.windows import next_mark
 from tidemark.sources.readers import FileSpec
-from tidemark.sources.tables import FrameTables, JdbcTables
+from tidemark.sources.tables import Bounds, FrameTables, JdbcTables
 from tidemark.sources.zones import zone
 
 OpenFile = Callable[[Row], FileSpec]
@@ -83,7 +83,7 @@ class Ingestion:
     def run_source(self, source: Row, pipeline_run_id: str | None = None) -> Outcome:
         """One run of one source, by its type."""
         run = RunLog(self.store, source, pipeline_run_id, self.clock)
-        old, bounds = None, (None, None)
+        old, bounds = None, Bounds()
         try:
             sql = route_of(source.SourceType) == SQL_ROUTE
             if sql:
@@ -93,7 +93,7 @@ class Ingestion:
             run.start(old, None)
             return run.fail(error)
 
-        high = bounds[1]
+        high = bounds.high
         run.start(old, high)
         try:
             if sql:

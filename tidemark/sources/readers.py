@@ -9,14 +9,12 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import datetime
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
-from tidemark.functions.marks import MILLISECOND, floor_millis
 from tidemark.model import CORRUPT_RECORD, CSV_FILE, JSON_FILE, SQL_TABLE
 
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
@@ -148,33 +146,32 @@ def jdbc_options(spec: TableSpec) -> dict[str, str]:
     }
 
 
-def jdbc_bounds_options(spec: TableSpec, watermark_column: str) -> dict[str, str]:
-    """Options that let the database take both extremes: one row back."""
+def jdbc_bounds_options(
+    spec: TableSpec, watermark_column: str, key_column: str | None = None
+) -> dict[str, str]:
+    """Options that let the database take the extremes: one row back."""
     options = jdbc_options(spec)
     table = options.pop("dbtable")
     column = qualified(watermark_column)
-    options["query"] = (
-        f"SELECT MIN({column}) AS LowMark, MAX({column}) AS HighMark FROM {table}"
-    )
+    wanted = f"MIN({column}) AS LowMark, MAX({column}) AS HighMark"
+    if key_column is not None:
+        key = qualified(key_column)
+        wanted += f", MIN({key}) AS LowKey, MAX({key}) AS HighKey"
+    options["query"] = f"SELECT {wanted} FROM {table}"
     return options
 
 
-def jdbc_window_options(
-    spec: TableSpec,
-    watermark_column: str,
-    low: datetime,
-    high: datetime,
-    partitions: int,
+def jdbc_range_options(
+    spec: TableSpec, column: str, low: str, high: str, partitions: int
 ) -> dict[str, str]:
-    """Options to read a window in parallel ranges of the watermark column.
+    """Options to read a table in parallel ranges of one column.
 
-    The ranges only spread the work; the window filter is still needed.
+    The ranges only spread the work; a window filter is still needed.
     """
-    upper = floor_millis(high) + MILLISECOND
     return {
         **jdbc_options(spec),
-        "partitionColumn": qualified(watermark_column),
-        "lowerBound": low.isoformat(sep=" "),
-        "upperBound": upper.isoformat(sep=" "),
+        "partitionColumn": qualified(column),
+        "lowerBound": low,
+        "upperBound": high,
         "numPartitions": str(partitions),
     }

@@ -5,23 +5,31 @@ Two kinds: any DataFrame the session can read, and a table behind JDBC.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import replace
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions import to_millis
+from tidemark.functions.marks import MILLISECOND, floor_millis
 from tidemark.operators.windows import high_mark, incremental_window
 from tidemark.sources.readers import (
     TableSpec,
     jdbc_bounds_options,
     jdbc_options,
-    jdbc_window_options,
+    jdbc_range_options,
 )
 
-Bounds = tuple[datetime | None, datetime | None]
+
+@dataclass(frozen=True)
+class Bounds:
+    """Extremes of a table, taken before its copy starts."""
+
+    high: datetime | None = None
+    low: datetime | None = None
+    low_key: int | None = None
+    high_key: int | None = None
 
 
 class FrameTables:
@@ -31,23 +39,24 @@ class FrameTables:
         self.open_table = open_table
 
     def bounds(self, source: Row) -> Bounds:
-        """Lowest (not needed here) and highest mark."""
         table = self.open_table(source)
         old = source.LastWatermarkValue
-        return None, high_mark(table, source.WatermarkColumn, old)
+        return Bounds(high_mark(table, source.WatermarkColumn, old))
 
     def window(self, source: Row, old: datetime | None, bounds: Bounds) -> DataFrame:
         return incremental_window(
-            self.open_table(source), source.WatermarkColumn, old, bounds[1]
+            self.open_table(source), source.WatermarkColumn, old, bounds.high
         )
 
 
 class JdbcTables:
-    """Tables of one database, read in parallel ranges of the mark column.
+    """Tables of one database, read in parallel ranges.
 
-    The database takes minimum and maximum itself. Ranges start at the lowest
-    mark present, not at the sentinel: from 1900 on, all rows of an initial
-    load would fall into the last range and so into one task.
+    The database takes the extremes itself. Ranges are cut on the mark column,
+    from the lowest mark present: from the sentinel on, all rows of an initial
+    load would fall into the last range and so into one task. Rows changed in
+    bulk share one mark, which no range can split; for tables where that
+    happens, `keys` names a whole-number key column to cut on instead.
     """
 
     def __init__(
@@ -55,10 +64,12 @@ class JdbcTables:
         spark: SparkSession,
         url: str,
         partitions: int,
-        options: dict[str, str] | None = None,
+        options: Mapping[str, str] | None = None,
+        keys: Mapping[str, str] | None = None,
     ):
         self.spark = spark
         self.partitions = partitions
+        self.keys = keys or {}
         self.base = TableSpec("", "", jdbc_url=url, options=options or {})
 
     def spec(self, source: Row) -> TableSpec:
@@ -67,32 +78,40 @@ class JdbcTables:
         )
 
     def bounds(self, source: Row) -> Bounds:
-        options = jdbc_bounds_options(self.spec(source), source.WatermarkColumn)
+        key = self.keys.get(source.SourceObjectName)
+        options = jdbc_bounds_options(self.spec(source), source.WatermarkColumn, key)
         row = (
             self._read(options)
-            .select(F.col("LowMark"), to_millis("HighMark").alias("HighMark"))
+            .withColumn("HighMark", to_millis("HighMark"))
             .first()
+            .asDict()
+        )
+        return Bounds(
+            row["HighMark"], row["LowMark"], row.get("LowKey"), row.get("HighKey")
         )
-        return row.LowMark, row.HighMark
 
     def window(self, source: Row, old: datetime | None, bounds: Bounds) -> DataFrame:
         return incremental_window(
             self._read(self.window_options(source, old, bounds)),
             source.WatermarkColumn,
             old,
-            bounds[1],
+            bounds.high,
         )
 
     def window_options(
         self, source: Row, old: datetime | None, bounds: Bounds
     ) -> dict[str, str]:
-        low, high = bounds
         spec = self.spec(source)
-        if old is None or low is None or high is None or high <= old:
+        if old is None or bounds.high is None or bounds.high <= old:
             return jdbc_options(spec)  # the window is empty; no ranges to cut
-        return jdbc_window_options(
-            spec, source.WatermarkColumn, max(old, low), high, self.partitions
-        )
+        key = self.keys.get(source.SourceObjectName)
+        if key is not None and bounds.low_key is not None:
+            column, low, high = key, str(bounds.low_key), str(bounds.high_key + 1)
+        else:
+            column = source.WatermarkColumn
+            low = max(old, bounds.low).isoformat(sep=" ")
+            high = (floor_millis(bounds.high) + MILLISECOND).isoformat(sep=" ")
+        return jdbc_range_options(spec, column, low, high, self.partitions)
 
     def _read(self, options: dict[str, str]) -> DataFrame:
         return self.spark.read.format("jdbc").options(**options).load()

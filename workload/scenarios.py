@@ -7,7 +7,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import model as m
 from tidemark.functions import ntz
 from tidemark.operators.journals import watermark_state
 from tidemark.operators.registry import (

@@ -342,7 +342,14 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = (
         F.when(
             F.col("o_orderstatus") == "P",
-            F.concat_ws(",", F.lit("notadate"), "o_orderkey", "o_orderpriority", price, F.lit("x")),
+            F.concat_ws(
+                ",",
+                F.lit("notadate"),
+                "o_orderkey",
+                "o_orderpriority",
+                price,
+                F.lit("x"),
+            ),
         )
         .when(short, F.concat_ws(",", date, "o_orderkey"))
         .otherwise(

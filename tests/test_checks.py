@@ -202,7 +202,9 @@ def test_latest_failed_run_breaks_ties_by_run_id(spark):
 def test_null_run_ids_match_nothing(spark):
     """A history row without a run must not count for sources without one."""
     reg = registry(spark, source_row())
-    hist = history(spark, history_row(1, None, DAY[2]))
+    hist = history(
+        spark, history_row(1, None, DAY[2]), history_row(2, "no run of 3", DAY[2])
+    )
     got = checks.failed_run_history_check(reg, runs(spark), hist).first()
     assert (got.FailedRunId, got.WatermarkHistory_Count) == (None, 0)
     assert got.Validation_Status == m.NO_FAILED_RUN
@@ -231,27 +233,39 @@ def test_at_most(spark):
     assert not joins.at_most(spark.range(6), 5)
 
 
+@pytest.mark.parametrize("share", [2, 20, 10_000])
 @pytest.mark.parametrize("how", ["inner", "left_semi"])
-def test_salted_join_is_the_same_join(spark, how):
-    """Most rows share one key; some match nothing; the side has keys to spare."""
+def test_split_join_is_the_same_join(spark, how, share, monkeypatch):
+    """Most rows share one key, some have none; the side has keys to spare."""
     rows = spark.range(1000, numPartitions=7).selectExpr(
-        "CASE WHEN id < 700 THEN 0 ELSE id % 9 END AS k", "id"
+        "CASE WHEN id < 600 THEN 0 WHEN id < 900 THEN id % 50 END AS k", "id"
     )
-    side = spark.range(0, 12, 2).selectExpr("id AS k", "id * 10 AS v")
+    side = spark.range(0, 60, 2).selectExpr("id AS k", "id * 10 AS v")
     small = joins.join_side(rows, side, "k", how)
+    monkeypatch.setattr(joins, "HOT_SHARE", share)
     large = joins.join_side(rows, side, "k", how, bound=0)
     assert small.columns == large.columns
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
 
 
-def test_salted_join_leaves_partial_counts_below_the_exchange(spark, capsys):
-    rows = spark.range(1000).selectExpr("id % 2 AS k")
-    side = spark.range(2).selectExpr("id AS k", "id AS v")
+def test_hot_keys_are_few_and_right(spark, monkeypatch):
+    rows = spark.range(1000).selectExpr("CASE WHEN id < 400 THEN 7 ELSE id END AS k")
+    monkeypatch.setattr(joins, "HOT_SHARE", 3)
+    assert joins.hot_keys(rows, "k") == [7]
+    monkeypatch.setattr(joins, "HOT_SHARE", 2)
+    assert joins.hot_keys(rows, "k") == []
+
+
+def test_rows_of_hot_keys_are_not_shuffled(spark, capsys, monkeypatch):
+    rows = spark.range(1000).selectExpr("CASE WHEN id < 400 THEN 7 ELSE id END AS k")
+    side = spark.range(1000).selectExpr("id AS k", "id AS v")
+    monkeypatch.setattr(joins, "HOT_SHARE", 3)
     with joined_without_broadcast(spark):
-        joined = joins.join_side(rows, side, "k", bound=0)
-        joined.groupBy("k").count().explain()
+        joins.join_side(rows, side, "k", bound=0).groupBy("k").count().explain()
         plan = capsys.readouterr().out
-    # A shuffle per side by (k, salt), one of partial counts by k.
+    # Only the other keys: a shuffle per side, and the counts of both parts.
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" in plan
     assert plan.count("Exchange hashpartitioning(k") == 3
     assert "partial_count" in plan
 

@@ -42,8 +42,13 @@ def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("sf_dir", [SMALL, MEDIUM])
-@pytest.mark.parametrize("name", sorted(QUERIES))
+FLAGSHIP = ("v2_empty_run_eligibility", "v9_retry_summary", "scenario_retry")
+
+
+@pytest.mark.parametrize(
+    ("name", "sf_dir"),
+    [(name, MEDIUM) for name in sorted(QUERIES)] + [(name, SMALL) for name in FLAGSHIP],
+)
 def test_query_agrees(spark, name, sf_dir):
     got = QUERIES[name](spark, sf_dir)
     want = database(sf_dir).execute(ORACLES[name])

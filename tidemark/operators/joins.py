@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 # rows (an id and a RunId: some 20 MB).
 BROADCAST_ROWS = 200_000
 
-# Parts a key is split into where the side is too large to broadcast.
-SALTS = 32
+# A key is hot when it owns more than one in this many rows. There can be no
+# more hot keys than this.
+HOT_SHARE = 10_000
 
 
 def at_most(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -27,16 +28,24 @@ def join_side(
 ) -> DataFrame:
     """Join (`inner` or `left_semi`) rows to a side with one row per key.
 
-    A side within the bound is broadcast and no row is shuffled. Beyond it the
-    rows are shuffled by key and salt, and the side is repeated per salt. The
-    salt is the number of the input partition, so the rows of a key that owns
-    a third of the table are spread as they were when read, and a task that is
-    run again gives the same salts. The skew join would not do: it stands back
-    when an aggregation by the same key follows.
+    A side within the bound is broadcast and no row is shuffled. Beyond it, the
+    rows of hot keys meet a broadcast of just those keys, and only the others
+    are shuffled. The engine's own skew join would not do: it stands back when
+    an aggregation by the same key follows.
     """
     if at_most(side, bound):
         return rows.join(F.broadcast(side), key, how)
-    salted = rows.withColumn("_salt", F.spark_partition_id() % SALTS)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    repeated = side.withColumn("_salt", salts)
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    hot = hot_keys(rows, key)
+    if not hot:
+        return rows.join(side, key, how)
+    is_hot = F.col(key).isin(hot)
+    spread = rows.where(is_hot).join(F.broadcast(side.where(is_hot)), key, how)
+    # NULL keys are in neither part; they match nothing.
+    return spread.unionByName(rows.where(~is_hot).join(side.where(~is_hot), key, how))
+
+
+def hot_keys(rows: DataFrame, key: str) -> list:
+    """Keys with more than their share of rows, fewer than HOT_SHARE of them."""
+    least = rows.count() / HOT_SHARE
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).count()
+    return [row[0] for row in counts.where(F.col("count") > least).collect()]

@@ -126,7 +126,10 @@ def retry_readiness(sources: Sources, registry: DataFrame) -> DataFrame:
         "LastWatermarkValue",
         "CurrentHighWatermarkValue",
         F.when(is_sentinel("LastWatermarkValue"), m.NOT_READY)
-        .when(F.col("CurrentHighWatermarkValue") > F.col("LastWatermarkValue"), m.CHANGES_ELIGIBLE)
+        .when(
+            F.col("CurrentHighWatermarkValue") > F.col("LastWatermarkValue"),
+            m.CHANGES_ELIGIBLE,
+        )
         .otherwise(m.NO_CHANGES_PENDING)
         .alias("Retry_Readiness_Status"),
     )
@@ -185,9 +188,12 @@ def failed_run_traces(
         F.count("WatermarkHistoryId").alias("History_Ids"),
         F.count(F.lit(1)).alias("History_Rows"),
     )
-    # Plain equality: a source without a failed run must match nothing.
+    # A source without a failed run must match nothing. Such sources may be many;
+    # a key of their own each keeps their NULLs out of one task.
+    own_key = F.concat(F.lit("no run of "), F.col("SourceObjectId").cast("string"))
+    same_run = F.coalesce("FailedRunId", own_key) == F.col("RunId")
     return (
-        known.join(counts, F.col("FailedRunId") == F.col("RunId"), "left")
+        known.join(counts, same_run & F.col("FailedRunId").isNotNull(), "left")
         .drop("RunId")
         .fillna(0, ["History_Ids", "History_Rows"])
     )
@@ -229,7 +235,10 @@ def retry_status() -> Column:
     return (
         F.when(is_sentinel("LastWatermarkValue"), m.NOT_READY)
         .when(F.col("FailedRunId").isNull(), m.NO_FAILED_RUN)
-        .when((F.col("History_Rows") == 0) & (F.col("Eligible_Row_Count") > 0), m.PASS_RETRY)
+        .when(
+            (F.col("History_Rows") == 0) & (F.col("Eligible_Row_Count") > 0),
+            m.PASS_RETRY,
+        )
         .otherwise(m.REVIEW_REQUIRED)
     )
 
@@ -307,7 +316,8 @@ def operational_summary(
         .join(per_source, "SourceObjectId", "left")
         .join(history_per_source(history), "SourceObjectId", "left")
         .withColumn(
-            "Empty_Run_Status", F.when(F.col("Eligible_Row_Count").isNotNull(), empty_run_status())
+            "Empty_Run_Status",
+            F.when(F.col("Eligible_Row_Count").isNotNull(), empty_run_status()),
         )
         .fillna(0, [*counts, "Eligible_Row_Count"])
         .orderBy(*BY_NAME)

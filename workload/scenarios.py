@@ -182,10 +182,20 @@ def empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingestion.run_active()
     check = eligibility({t.ORDERS: orders}, store.registry())
     run = store.runs().select(
-        "SourceObjectName", "Status", "RowsRead", "RowsCopied", "NewWatermarkValue"
+        "SourceObjectId",
+        "SourceObjectName",
+        "Status",
+        "RowsRead",
+        "RowsCopied",
+        "NewWatermarkValue",
+    )
+    entries = (
+        store.history()
+        .groupBy("SourceObjectId")
+        .agg(F.count(F.lit(1)).alias("History_Rows"))
     )
-    entries = store.history().agg(F.count(F.lit(1)).alias("History_Rows"))
-    return check.join(run, "SourceObjectName").crossJoin(entries)
+    logged = run.join(entries, "SourceObjectId").drop("SourceObjectId")
+    return check.join(logged, "SourceObjectName")
 
 
 def retry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, packing, rules, urls
+from tidemark.llm import decontaminate, minhash, packing, rules, substrings, urls
 from tidemark.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,13 @@ def op7_decontaminate(spark, sf_dir):
 @query
 def op9_pack(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op8_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_substrings(spark, sf_dir):
+    return substrings.report(table(spark, sf_dir, "documents"))

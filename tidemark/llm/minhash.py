@@ -69,7 +69,7 @@ def signatures(sets: list[np.ndarray], places: int) -> np.ndarray:
     elements = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     order: np.ndarray | None = None  # what the shuffles have left of each permutation
     for rank in range(places):
-        drawn = mixed(elements + _U(rank + 1) * _STEP)
+        drawn = mixed(elements + _U(((rank + 1) * int(_STEP)) & (2**64 - 1)))
         pick = rank + (((drawn & _U(0xFFFF)) * _U(places - rank)) >> _U(16)).astype(np.int64)
         if rank:
             if order is None:

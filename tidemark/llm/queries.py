@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, minhash, packing, rules, substrings, urls
+from tidemark.llm import decontaminate, minhash, packing, rules, substrings, suffixes, urls
 from tidemark.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op8_minhash(spark, sf_dir):
 @query
 def op5_substrings(spark, sf_dir):
     return substrings.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_suffixes(spark, sf_dir):
+    return suffixes.report(table(spark, sf_dir, "documents"))

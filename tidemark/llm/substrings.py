@@ -54,7 +54,7 @@ def rolled(ids: np.ndarray, size: int, base: np.uint64) -> np.ndarray:
         if rest:
             n = len(ids) - 2 * length + 1
             have = have[:n] * power[-1] + have[length : length + n]
-            power.append(power[-1] * power[-1])
+            power.append(_U((int(power[-1]) ** 2) & (2**64 - 1)))
             length *= 2
     return out
 
@@ -106,15 +106,18 @@ def _emit(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _blocks(docs: DataFrame, window: int, ranges: int, block_windows: int, check: int) -> DataFrame:
-    """Slices of blocks by hash range, and a row with each block's texts."""
+def hash_slices(docs: DataFrame, hasher, ranges: int, block_windows: int, check: int) -> DataFrame:
+    """Slices of blocks by hash range, and a row with each block's texts.
+
+    `hasher` maps a text to a count to keep and two arrays of hashes.
+    """
 
     def run(batches):
         serial = TaskContext.get().partitionId() << 32
-        ids, texts, counts, hashes, checks, total = [], [], [], [], [], 0
+        ids, texts, counts, sizes, hashes, checks, total = [], [], [], [], [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal serial, ids, texts, counts, hashes, checks, total
+            nonlocal serial, ids, texts, counts, sizes, hashes, checks, total
             one = np.concatenate(hashes)
             two = np.concatenate(checks)
             order = np.lexsort((two, one)) if check else np.argsort(one, kind="stable")
@@ -127,7 +130,12 @@ def _blocks(docs: DataFrame, window: int, ranges: int, block_windows: int, check
             again[1:] |= same
             again[:-1] |= same
             meta = pa.table(
-                {"id": ids, "key": pa.array(texts, pa.int64()), "n": pa.array(counts, pa.int64())}
+                {
+                    "id": ids,
+                    "key": pa.array(texts, pa.int64()),
+                    "n": pa.array(counts, pa.int64()),
+                    "hashes": pa.array(sizes, pa.int64()),
+                }
             )
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, meta.schema) as out:
@@ -162,16 +170,17 @@ def _blocks(docs: DataFrame, window: int, ranges: int, block_windows: int, check
                 )
             yield _emit(rows)
             serial += 1
-            ids, texts, counts, hashes, checks, total = [], [], [], [], [], 0
+            ids, texts, counts, sizes, hashes, checks, total = [], [], [], [], [], [], 0
 
         for batch in runs(batches, "text", 1 << 20):
             for key, text in zip(
                 batch.column("id").to_pylist(), blobs(batch.column("text")), strict=True
             ):
-                n, one, two = window_hashes(text, window)
+                n, one, two = hasher(text)
                 ids.append(key)
                 texts.append(text_key(text))
                 counts.append(n)
+                sizes.append(len(one))
                 hashes.append(one)
                 checks.append(two & _U((1 << (8 * check)) - 1) if check else two & _U(0))
                 total += len(one)
@@ -200,7 +209,7 @@ def _bytes_to_ints(packed: bytes, width: int) -> np.ndarray:
     return wide.view("<u4").reshape(-1)
 
 
-def _counted(table: pa.Table) -> pa.Table:
+def repeated_places(table: pa.Table) -> pa.Table:
     """Of one hash range: per block the places whose hash other blocks have as well."""
     blocks, widths = table.column("block").to_pylist(), table.column("width").to_pylist()
     rows, found = [], []
@@ -245,28 +254,29 @@ def _counted(table: pa.Table) -> pa.Table:
     )
 
 
+def block_flags(table: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
+    """Of one block: its texts, and which of each text's hashes are repeated."""
+    marks, texts, local = [], None, b""
+    for width, meta, places in zip(
+        *(table.column(c).to_pylist() for c in ("width", "meta", "places")), strict=True
+    ):
+        if width == _META:
+            texts, local = pa.ipc.open_stream(meta).read_all(), places
+        else:
+            marks.append(_bytes_to_ints(places, width))
+    sizes = texts.column("hashes").to_numpy()
+    flags = np.unpackbits(np.frombuffer(local, np.uint8))[: sizes.sum()].astype(bool)
+    for at in marks:
+        flags[at] = True
+    return texts, np.split(flags, np.cumsum(sizes)[:-1])
+
+
 def _merged(kind: str, window: int):
     """Of one block: per text its words and the intervals to remove."""
 
     def run(table: pa.Table) -> pa.Table:
-        marks, texts = [], None
-        for width, meta, places in zip(
-            *(table.column(c).to_pylist() for c in ("width", "meta", "places")), strict=True
-        ):
-            if width == _META:
-                texts, local = pa.ipc.open_stream(meta).read_all(), places
-            else:
-                marks.append(_bytes_to_ints(places, width))
-        n = np.array(texts.column("n").to_pylist(), np.int64)
-        windows = np.maximum(n - window + 1, 0)
-        flags = np.unpackbits(np.frombuffer(local, np.uint8))[: windows.sum()].astype(bool)
-        for at in marks:
-            flags[at] = True
-        ends = np.cumsum(windows)
-        spans = [
-            intervals(np.flatnonzero(flags[end - size : end]), window)
-            for end, size in zip(ends, windows, strict=True)
-        ]
+        texts, flags = block_flags(table)
+        spans = [intervals(np.flatnonzero(f), window) for f in flags]
         return pa.table(
             {
                 "id": texts.column("id"),
@@ -297,28 +307,36 @@ def repeated(
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = int(size // range_bytes) + 1
-    slices = _blocks(docs, window, ranges, block_windows, check_bytes)
+    slices = hash_slices(
+        docs, lambda text: window_hashes(text, window), ranges, block_windows, check_bytes
+    )
     counted = slices.groupBy("range").applyInArrow(
-        _counted, "block long, width int, meta binary, places binary"
+        repeated_places, "block long, width int, meta binary, places binary"
     )
     run, schema = _merged(docs.schema["id"].dataType.simpleString(), window)
     return counted.groupBy("block").applyInArrow(run, schema)
 
 
-def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Per row: words, removed words and the digest of the words that stay."""
-    found = repeated(docs, id_col=id_col, text_col=text_col, **options)
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def keyed(docs: DataFrame) -> DataFrame:
+    """id and text, with text_key."""
     kind = docs.schema["id"].dataType.simpleString()
 
-    def keyed(batches):
+    def run(batches):
         for batch in batches:
             keys = pa.array([text_key(t) for t in blobs(batch.column("text"))], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("text"), keys], names=["id", "text", "text_key"]
             )
 
-    texts = docs.mapInArrow(keyed, f"id {kind}, text string, text_key long")
+    return docs.mapInArrow(run, f"id {kind}, text string, text_key long")
+
+
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Per row: words, removed words and the digest of the words that stay."""
+    found = repeated(docs, id_col=id_col, text_col=text_col, **options)
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = docs.schema["id"].dataType.simpleString()
+    texts = keyed(docs)
     # Equal (id, text) rows have equal results.
     spans = found.dropDuplicates(["id", "text_key"]).select(
         F.col("id").alias("span_id"), F.col("text_key").alias("span_key"), "n_words", "spans"

@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, minhash, packing, rules, substrings, suffixes, urls
+from tidemark.llm import (
+    decontaminate,
+    language,
+    minhash,
+    packing,
+    rules,
+    substrings,
+    suffixes,
+    toxicity,
+    urls,
+)
 from tidemark.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +70,36 @@ def op5_substrings(spark, sf_dir):
 @query
 def op10_suffixes(spark, sf_dir):
     return suffixes.report(table(spark, sf_dir, "documents"))
+
+
+def toxicity_model(spark, sf_dir):
+    """Learned from labelled rows outside the held-out quarter."""
+    return toxicity.learn(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        F.crc32(F.col("id").cast("string")) % 4 != 2,
+    )
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    model = toxicity_model(spark, sf_dir)
+    scored = toxicity.scores(table(spark, sf_dir, "documents"), model)
+    return scored.select(
+        "doc_id",
+        (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op4_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    profiles = language.learn(docs, F.crc32(F.col("id").cast("string")) % 3 != 1)
+    return language.predict(docs, profiles).select(
+        "doc_id",
+        (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"),
+        "lang_pred",
+        "score",
+    )

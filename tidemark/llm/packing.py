@@ -18,6 +18,7 @@ Null and empty texts have the end id only. Repeated rows are packed each.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.text import blobs, runs
 
 _ID = np.dtype("<u4")
+_MARKS = frozenset((b",", b"."))
 
 
 class Encoder:
@@ -41,26 +43,52 @@ class Encoder:
     among the last `size` to twice as many new words.
     """
 
-    def __init__(self, path: str, size: int = 200_000):
+    def __init__(self, path: str, size: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        count = self.tokenizer.get_vocab_size()
+        tokens = map(self.tokenizer.id_to_token, range(count))
+        self.ends = np.array([t is not None and t.endswith("</w>") for t in tokens])
         self.size = size
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode() for w in words]
         for at in range(0, len(words), 2000):
-            part = texts[at : at + 2000]
-            starts = np.cumsum([0] + [len(t) + 1 for t in part[:-1]])
-            code = self.tokenizer.encode("\n".join(part), add_special_tokens=False)
-            ids = np.array(code.ids, _ID)
+            part = words[at : at + 2000]
+            texts = [w.decode() for w in part]
+            # Each token that ends a pre-token says so; letters alone make one pre-token,
+            # or more, never none. So equal counts prove one for each word.
+            if all(map(str.isalpha, texts)):
+                code = self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)
+                ids = np.array(code[0].ids, _ID)
+                cut = np.flatnonzero(self.ends[ids]) + 1
+                if len(cut) == len(part):
+                    self._keep(part, ids, np.append(0, cut))
+                    continue
+            starts = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+            code = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             first = np.array([a for a, _ in code.offsets], np.int64)
             owner = np.searchsorted(starts, first, "right") - 1
             cut = np.searchsorted(owner, np.arange(len(part) + 1))
-            for i, word in enumerate(words[at : at + 2000]):
-                self.young[word] = ids[cut[i] : cut[i + 1]].tobytes()
+            self._keep(part, np.array(code.ids, _ID), cut)
+
+    def _keep(self, words: list[bytes], ids: np.ndarray, cut: np.ndarray) -> None:
+        raw, cut = ids.tobytes(), (4 * cut).tolist()
+        self.young.update(
+            (word, raw[a:b]) for word, a, b in zip(words, cut, cut[1:], strict=False)
+        )
+
+    def _recall(self, words: set[bytes]) -> list[bytes]:
+        """Those that aren't remembered; the others are made young again."""
+        new = []
+        for word in words:
+            if (ids := self.old.get(word)) is None:
+                new.append(word)
+            else:
+                self.young[word] = ids
+        return new
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -68,19 +96,27 @@ class Encoder:
             self.old, self.young = self.young, {}
         # Lower case would turn other text into special tokens' strings.
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        missing = set().union(*split).difference(self.young)
-        new = []
-        for word in missing:
-            if (ids := self.old.get(word)) is None:
-                new.append(word)
-            else:
-                self.young[word] = ids
-        if new:
-            self._learn(new)
-        get = self.young.__getitem__
+        new = self._recall(set().union(*split).difference(self.young))
+        # A mark after an ASCII letter at a word's end is a pre-token by itself.
+        marked = [w for w in new if w[-1:] in _MARKS and w[-2:-1].isalpha() and b"<|" not in w]
+        stems = {w[:-1] for w in marked}.union(new).difference(marked, self.young)
+        stems = self._recall(stems)
+        letters = [w for w in stems if w.decode().isalpha()]
+        self._learn(letters)
+        self._learn(list(set(stems).difference(letters).union(_MARKS - self.young.keys())))
+        young = self.young
+        for word in marked:
+            young[word] = young[word[:-1]] + young[word[-1:]]
+        get = young.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
 
+@functools.cache
+def encoder_of(path: str) -> Encoder:
+    """One for each worker process, so that tasks after the first start with its memory."""
+    return Encoder(path)
+
+
 class Packer:
     """Takes examples, gives pieces; see the module's text."""
 
@@ -213,7 +249,7 @@ def pack(
         return pa.RecordBatch.from_arrays(arrays, names=["id", *(n for n, _ in _PIECES)])
 
     def run(batches):
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         packer = Packer(limits, pool, TaskContext.get().partitionId() << 33)
         out, keys = [], None
         for batch in runs(batches, "text", 1 << 20):

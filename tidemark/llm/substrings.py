@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import blobs, runs
+from tidemark.llm.text import blobs, expand, runs, squeeze
 
 _U = np.uint64
 _ONE, _TWO = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
@@ -318,17 +318,18 @@ def repeated(
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """id and text, with text_key."""
+    """id, text_key and the compressed text, ready for a shuffle."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            keys = pa.array([text_key(t) for t in blobs(batch.column("text"))], pa.int64())
+            texts = blobs(batch.column("text"))
+            keys = pa.array([text_key(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text"), keys], names=["id", "text", "text_key"]
+                [batch.column("id"), squeeze(texts), keys], names=["id", "packed", "text_key"]
             )
 
-    return docs.mapInArrow(run, f"id {kind}, text string, text_key long")
+    return docs.mapInArrow(run, f"id {kind}, packed binary, text_key long")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -345,13 +346,13 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
         spans.hint("shuffle_hash"),
         F.col("id").eqNullSafe(F.col("span_id")) & (F.col("text_key") == F.col("span_key")),
         "left",
-    ).select("id", "text", "n_words", "spans")
+    ).select("id", "packed", "n_words", "spans")
 
     def run(batches):
         for batch in batches:
             removed, digests = [], []
             for text, spans in zip(
-                blobs(batch.column("text")), batch.column("spans").to_pylist(), strict=True
+                expand(batch.column("packed")), batch.column("spans").to_pylist(), strict=True
             ):
                 words = text.split()
                 kept, at, gone = [], 0, 0

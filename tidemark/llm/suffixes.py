@@ -44,7 +44,7 @@ from tidemark.llm.substrings import (
     rolled,
     text_key,
 )
-from tidemark.llm.text import blobs, runs
+from tidemark.llm.text import blobs, expand, runs
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -183,12 +183,12 @@ def _spans(texts: DataFrame, length: int, gram: int, shards: int, block_bytes: i
 
     def run(batches):
         coder = zstandard.ZstdCompressor(level=1)
-        for batch in runs(batches, "text", block_bytes):
+        for batch in runs(batches, "packed", block_bytes // 2):
             todo = sorted(
                 zip(
                     (_FIRST if i is None else i for i in batch.column("id").to_pylist()),
                     batch.column("text_key").to_pylist(),
-                    blobs(batch.column("text")),
+                    expand(batch.column("packed")),
                     batch.column("flags").to_pylist(),
                     strict=True,
                 ),
@@ -298,7 +298,7 @@ def repeated(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """id, text, text_key and `spans` (flat byte intervals, unordered; null if none)."""
+    """id, packed text, text_key and `spans` (flat byte intervals, unordered; null if none)."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
@@ -365,7 +365,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
         for batch in batches:
             rows = []
             for text, spans in zip(
-                blobs(batch.column("text")), batch.column("spans").to_pylist(), strict=True
+                expand(batch.column("packed")), batch.column("spans").to_pylist(), strict=True
             ):
                 spans = merged(spans)
                 rest = kept(text, spans)
@@ -381,7 +381,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
                 names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    found = repeated(docs, id_col=id_col, **options).select("id", "text", "spans")
+    found = repeated(docs, id_col=id_col, **options).select("id", "packed", "spans")
     return found.mapInArrow(
         run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     ).withColumnRenamed("id", id_col)
@@ -393,20 +393,37 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A cut that would split a UTF-8 character leaves the character's bytes whole.
     """
     columns = docs.columns
-    found = repeated(docs, id_col=id_col, text_col=text_col, **options).where(
-        "spans is not null"
+    found = (
+        repeated(docs, id_col=id_col, text_col=text_col, **options)
+        .where("spans is not null")
+        .select(F.col("id").alias("found_id"), F.col("text_key").alias("found_key"), "spans")
+        .dropDuplicates(["found_id", "found_key"])
+    )
+    rows = docs.select(F.struct(*columns).alias("row"), F.col(text_col).alias("text"))
+
+    def key(batches):
+        for batch in batches:
+            keys = pa.array([text_key(t) for t in blobs(batch.column("text"))], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), keys], names=["row", "key"])
+
+    struct = rows.schema["row"].dataType.simpleString()
+    on = F.col("row")[id_col].cast("long").eqNullSafe(F.col("found_id")) & (
+        F.col("key") == F.col("found_key")
+    )
+    joined = rows.mapInArrow(key, f"row {struct}, key long").join(
+        found.hint("shuffle_hash"), on, "left"
     )
-    found = found.select(
-        F.col("id").alias("found_id"), F.col("text").alias("found_text"), "spans"
-    ).dropDuplicates(["found_id", "found_text"])
 
     def run(batches):
         for batch in batches:
             texts = []
-            for text, spans in zip(
-                blobs(batch.column("found_text")), batch.column("spans").to_pylist(), strict=True
+            for raw, spans in zip(
+                batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True
             ):
-                whole = []
+                if not spans:
+                    texts.append(raw)
+                    continue
+                text, whole = raw.encode(), []
                 for a, b in merged(spans):
                     while a < b and text[a] & 0xC0 == 0x80:
                         a += 1
@@ -415,23 +432,15 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     whole.append((a, b))
                 texts.append(kept(text, whole).decode())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("found_id"),
-                    batch.column("found_text"),
-                    pa.array(texts, pa.string()),
-                ],
-                names=["found_id", "found_text", "new_text"],
+                [batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"]
             )
 
-    changed = found.mapInArrow(run, "found_id long, found_text string, new_text string")
-    row = docs.select(F.struct(*columns).alias("row"))
-    on = F.col(f"row.{id_col}").cast("long").eqNullSafe(F.col("found_id")) & (
-        F.col(f"row.{text_col}") == F.col("found_text")
+    changed = joined.select("row", F.col("row")[text_col].alias("text"), "spans").mapInArrow(
+        run, f"row {struct}, text string"
     )
-    out = row.join(changed.hint("shuffle_hash"), on, "left")
-    return out.select(
+    return changed.select(
         *(
-            F.coalesce("new_text", f"row.{c}").alias(c) if c == text_col else F.col("row")[c].alias(c)
+            F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c)
             for c in columns
         )
     )

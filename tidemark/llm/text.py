@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,17 @@ def runs(
                 start, total = row + 1, 0
 
 
+def squeeze(texts: list[bytes]) -> pa.Array:
+    """Texts that are about to be shuffled, compressed one by one."""
+    coder = zstandard.ZstdCompressor(level=6)
+    return pa.array([coder.compress(t) for t in texts], pa.binary())
+
+
+def expand(column: pa.Array) -> list[bytes]:
+    decoder = zstandard.ZstdDecompressor()
+    return [decoder.decompress(t) for t in column.to_pylist()]
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(text, UPPER, LOWER)

@@ -227,6 +227,7 @@ def clean(
     columns = docs.columns
     packed = docs.select(F.struct(*columns).alias("row"), F.col(text_col).alias("text"))
     marked = mark(packed, benchmark, id_col="row", text_col="text", **options)
+    marked = marked.withColumnRenamed("id", "row")
 
     def apply(batches):
         for batch in batches:

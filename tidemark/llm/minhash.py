@@ -20,6 +20,7 @@ link between different texts is lost but for the banding: at 32 bands of 4 a pai
 
 Repeated rows are copies like others; rows that share a doc_id but not the text are
 texts of their own. A null doc_id can be the id of a component only if no other is in it.
+Other columns aren't read. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -230,7 +231,8 @@ def near_duplicates(
     text_col: str = "text",
 ) -> DataFrame:
     """Per row: id, n_shingles, component_id and kept (it is the component's id)."""
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # In a struct, so that null ids join too.
+    docs = docs.select(F.struct(F.col(id_col).alias("v")).alias("id"), F.col(text_col).alias("text"))
     profiles = stored(_profiles(docs, words, bands, rows))
     classes = (
         profiles.where("node is not null")
@@ -280,12 +282,40 @@ def near_duplicates(
     named = profiles.join(final, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
-    least = named.where("node is not null").groupBy("component").agg(F.min("id").alias("smallest"))
+    least = (
+        named.where("node is not null").groupBy("component").agg(F.min("id.v").alias("smallest"))
+    )
+    alone = F.col("node").isNull()
     return named.join(least, "component", "left").select(
-        F.col("id").alias(id_col),
+        F.col("id.v").alias(id_col),
         "n_shingles",
-        F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("smallest")).alias("component_id"),
-        F.when(F.col("node").isNull(), F.lit(True))
-        .otherwise(F.col("id").eqNullSafe(F.col("smallest")))
-        .alias("kept"),
+        F.when(alone, F.col("id.v")).otherwise(F.col("smallest")).alias("component_id"),
+        (alone | F.col("id.v").eqNullSafe(F.col("smallest"))).alias("kept"),
+    )
+
+
+def one_of_each(
+    docs: DataFrame,
+    words: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    **options,
+) -> DataFrame:
+    """The documents, one of each group: the one with the smallest id.
+
+    Of equal ids with different texts a hash of the text decides, and of rows equal
+    in both any one stays. Texts without words all stay, repeated rows too.
+    """
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    keyed = docs.select(key.alias("key"), F.struct(*docs.columns).alias("row"))
+    found = near_duplicates(
+        docs.select(key.alias("key"), F.col(text_col).alias("text")),
+        words, percent, id_col="key", text_col="text", **options,
+    ).where("kept")
+    chosen = found.groupBy("key").agg(F.max("n_shingles").alias("n_shingles"))
+    rows = keyed.join(chosen.hint("shuffle_hash"), "key")
+    rows = rows.where("n_shingles = 0").union(
+        rows.where("n_shingles > 0").dropDuplicates(["key"])
     )
+    return rows.select(*(F.col("row")[c].alias(c) for c in docs.columns))

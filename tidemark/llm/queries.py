@@ -20,6 +20,9 @@ from tidemark.llm import (
 )
 from tidemark.llm.text import table
 
+#: Scores from here on are predicted toxic.
+REJECTED_FROM = 0.3
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -72,24 +75,25 @@ def op10_suffixes(spark, sf_dir):
     return suffixes.report(table(spark, sf_dir, "documents"))
 
 
-def toxicity_model(spark, sf_dir):
+def toxicity_model(docs: DataFrame, labels: DataFrame):
     """Learned from labelled rows outside the held-out quarter."""
     return toxicity.learn(
-        table(spark, sf_dir, "documents"),
-        table(spark, sf_dir, "labels"),
+        docs,
+        labels,
         F.crc32(F.col("id").cast("string")) % 4 != 2,
     )
 
 
 @query
 def op2_toxicity(spark, sf_dir):
-    model = toxicity_model(spark, sf_dir)
-    scored = toxicity.scores(table(spark, sf_dir, "documents"), model)
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.scores(docs, model)
     return scored.select(
         "doc_id",
         (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"),
         "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        (F.col("score") >= REJECTED_FROM).cast("int").alias("predicted"),
     )
 
 

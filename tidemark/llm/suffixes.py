@@ -292,7 +292,7 @@ def repeated(
     length: int = 100,
     gram: int = 20,
     range_bytes: int = 64 << 20,
-    shard_bytes: int = 2 << 20,
+    shard_bytes: int = 256 << 10,
     block_bytes: int = 4 << 20,
     block_anchors: int = 1 << 18,
     id_col: str = "doc_id",

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import blobs
+from tidemark.llm.text import blobs, bounded
 
 #: To lower case, and ASCII that is no part of a word to a blank.
 _WORDS = bytes(
@@ -124,6 +124,7 @@ def mark(
         F.lit(b"").alias("hits"),
         F.array().cast("array<string>").alias("items"),
     )
+    bounded(docs.sparkSession)
     schema = rows.schema
     context = docs.sparkSession.sparkContext
     for block in _blocks(benchmark, item_col, item_text_col, block_bytes):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import blobs
+from tidemark.llm.text import blobs, bounded
 
 UNKNOWN = "und"
 _SHIFT = 21  # bits of a code point
@@ -76,6 +76,7 @@ def learn(
     lang_col: str = "lang",
 ) -> dict[str, list[int]]:
     """The profile of each language; `usable` is a condition on `id`."""
+    bounded(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where("id is not null and lang is not null and text is not null")
@@ -129,6 +130,7 @@ def predict(
     text_col: str = "text",
 ) -> DataFrame:
     """Per row: id, lang_pred and score."""
+    bounded(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     names = sorted(profiles)

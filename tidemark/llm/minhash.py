@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components, stored
-from tidemark.llm.text import LOWER, UPPER, blobs, runs
+from tidemark.llm.text import LOWER, UPPER, blobs, bounded, runs
 
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _U = np.uint64
@@ -231,6 +231,7 @@ def near_duplicates(
     text_col: str = "text",
 ) -> DataFrame:
     """Per row: id, n_shingles, component_id and kept (it is the component's id)."""
+    bounded(docs.sparkSession)
     # In a struct, so that null ids join too.
     docs = docs.select(F.struct(F.col(id_col).alias("v")).alias("id"), F.col(text_col).alias("text"))
     profiles = stored(_profiles(docs, words, bands, rows))

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import blobs, runs
+from tidemark.llm.text import blobs, bounded, runs
 
 _ID = np.dtype("<u4")
 _MARKS = frozenset((b",", b"."))
@@ -219,6 +219,7 @@ def pack(
     `loss_pattern`, only tokens of parts of the text that match bear loss (and the
     end id); parts are tokenised apart then. `max_loss` defaults to `max_tokens`.
     """
+    bounded(docs.sparkSession)
     limits = (max_tokens, max_segments, max_loss or max_tokens)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

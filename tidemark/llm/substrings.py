@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import blobs, expand, runs, squeeze
+from tidemark.llm.text import blobs, bounded, expand, runs, squeeze
 
 _U = np.uint64
 _ONE, _TWO = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
@@ -304,6 +304,7 @@ def repeated(
     in size. A window that also starts within the same block but is sent once stays
     marked in its block; equal windows of other blocks meet the one that was sent.
     """
+    bounded(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = int(size // range_bytes) + 1

@@ -44,7 +44,7 @@ from tidemark.llm.substrings import (
     rolled,
     text_key,
 )
-from tidemark.llm.text import blobs, expand, runs
+from tidemark.llm.text import blobs, bounded, expand, runs
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -299,6 +299,7 @@ def repeated(
     text_col: str = "text",
 ) -> DataFrame:
     """id, packed text, text_key and `spans` (flat byte intervals, unordered; null if none)."""
+    bounded(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 

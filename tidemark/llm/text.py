@@ -19,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Has batches for Python end at `size` bytes, not only at a number of rows.
+
+    Long texts would make batches of gigabytes else. A session's own bound stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, size)
+
+
 def blobs(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes; null reads as empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import blobs
+from tidemark.llm.text import blobs, bounded
 
 
 #: A-Z to lower case, other ASCII but digits and letters to a blank.
@@ -221,6 +221,7 @@ def learn(
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"):
     """Per row: id and score."""
+    bounded(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 

@@ -14,12 +14,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import BLANKS, word_array
+from tidemark.llm.text import word_array
 
 SYMBOLS = "#*$%&|<>"
 
@@ -33,12 +33,24 @@ STOP_WORDS = (
 _POSITION_BITS = 30
 
 
+@dataclass(frozen=True)
+class Facts:
+    """Columns of a text that the base counts have anyway, so that no rule works them out anew."""
+
+    text: Column
+    words: Column
+    n_words: Column
+    word_chars: Column
+    n_symbols: Column
+    lines: Column
+
+
 @dataclass(frozen=True)
 class Rule:
-    """`rejects` maps a text column to a boolean; null counts as false."""
+    """`rejects` maps a text's facts to a boolean; null counts as false."""
 
     name: str
-    rejects: Callable[[Column], Column]
+    rejects: Callable[[Facts], Column]
 
 
 @dataclass(frozen=True)
@@ -52,53 +64,59 @@ class Measured:
         return self.rejected / max(self.seconds, 1e-4)
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, ""))
+def _number(text: Column, kind: str) -> Column:
+    """How many characters of a class a text has; what lies between them is cut in runs."""
+    return F.length(F.regexp_replace(text, f"[^{kind}]+", ""))
 
 
-def _word_count(text: Column) -> Column:
-    return F.size(word_array(text))
+def _lines_with_words(text: Column) -> Column:
+    return F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^ \t\n\x0B\f\r]"))
 
 
-def _lines_with_words(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda line: F.translate(line, BLANKS, "") != "")
+def facts(docs: DataFrame) -> DataFrame:
+    """Adds the columns of `Facts` to `text`, which isn't null."""
+    return docs.withColumn("words", word_array(F.col("text"))).select(
+        "*",
+        F.size("words").cast("long").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        _number(F.col("text"), SYMBOLS).cast("long").alias("n_symbols"),
+        _lines_with_words(F.col("text")).alias("lines"),
+    )
 
 
-def _symbols(text: Column) -> Column:
-    return 10 * (F.length(text) - _without(text, SYMBOLS)) > _word_count(text)
+def _symbols(of: Facts) -> Column:
+    return 10 * of.n_symbols > of.n_words
 
 
-def _shouting(text: Column) -> Column:
-    upper = F.length(F.regexp_replace(text, "[^A-ZÀ-ÖØ-Þ]", ""))
-    lower = F.length(F.regexp_replace(text, "[^a-zß-öø-ÿ]", ""))
-    return upper > lower
+def _shouting(of: Facts) -> Column:
+    return _number(of.text, "A-ZÀ-ÖØ-Þ") > _number(of.text, "a-zß-öø-ÿ")
 
 
-def _exclaiming(text: Column) -> Column:
-    return 3 * (F.length(text) - _without(text, "!")) > _word_count(text)
+def _exclaiming(of: Facts) -> Column:
+    return 3 * _number(of.text, "!") > of.n_words
 
 
-def _word_length(text: Column) -> Column:
-    letters, words = _without(text, BLANKS), _word_count(text)
-    return (letters < 3 * words) | (letters > 12 * words)
+def _word_length(of: Facts) -> Column:
+    return (of.word_chars < 3 * of.n_words) | (of.word_chars > 12 * of.n_words)
 
 
-def _digits(text: Column) -> Column:
-    digits = F.length(text) - _without(text, "0123456789")
-    return 4 * digits > _without(text, BLANKS)
+def _digits(of: Facts) -> Column:
+    return 4 * _number(of.text, "0-9") > of.word_chars
 
 
-def _repeated_lines(text: Column) -> Column:
-    lines = _lines_with_words(text)
-    return 10 * F.size(F.array_distinct(lines)) < 7 * F.size(lines)
+def _repeated_lines(of: Facts) -> Column:
+    return 10 * F.size(F.array_distinct(of.lines)) < 7 * F.size(of.lines)
 
 
-def _no_stop_words(text: Column) -> Column:
-    words = F.array_distinct(F.split(F.lower(text), r"[ \t\n\x0B\f\r]+"))
+def _no_stop_words(of: Facts) -> Column:
+    words = F.array_distinct(F.split(F.lower(of.text), r"[ \t\n\x0B\f\r]+"))
     known = F.array(*map(F.lit, STOP_WORDS))
     return F.size(F.array_intersect(known, words)) < 2
 
 
+#: The columns of a table that `facts` made.
+FACTS = tuple(f.name for f in fields(Facts))
+
 RULES = (
     Rule("symbols", _symbols),
     Rule("shouting", _shouting),
@@ -110,6 +128,10 @@ RULES = (
 )
 
 
+def known() -> Facts:
+    return Facts(*(F.col(name) for name in FACTS))
+
+
 def measure(
     docs: DataFrame,
     rules: Sequence[Rule] = RULES,
@@ -122,8 +144,8 @@ def measure(
     A job over an empty rule is timed too and taken off. Nothing else depends on
     the sample, and the sample's size doesn't grow with the input.
     """
-    sample = docs.select(F.coalesce(text_col, F.lit("")).alias("text"))
-    sample = sample.limit(sample_rows).cache()
+    sample = docs.select(F.coalesce(text_col, F.lit("")).alias("text")).limit(sample_rows)
+    sample = facts(sample).cache()
     try:
         rows = sample.count()
 
@@ -138,7 +160,7 @@ def measure(
         floor, _ = timed(F.lit(False) & (F.length("text") < 0))
         out = []
         for rule in rules:
-            seconds, found = timed(rule.rejects(F.col("text")))
+            seconds, found = timed(rule.rejects(known()))
             out.append(Measured(rule.name, max(seconds - floor, 1e-4), found / max(rows, 1)))
         return out
     finally:
@@ -151,11 +173,11 @@ def ordered(rules: Sequence[Rule], measured: Sequence[Measured]) -> list[Rule]:
     return sorted(rules, key=lambda rule: (-gain[rule.name], rule.name))
 
 
-def cascade(rules: Sequence[Rule], text: Column) -> Column:
+def cascade(rules: Sequence[Rule], of: Facts) -> Column:
     """The name of the first rule that rejects, else null."""
     verdict = None
     for rule in rules:
-        test = rule.rejects(text)
+        test = rule.rejects(of)
         verdict = (
             F.when(test, F.lit(rule.name)) if verdict is None else verdict.when(test, rule.name)
         )
@@ -164,8 +186,7 @@ def cascade(rules: Sequence[Rule], text: Column) -> Column:
 
 def _measures(docs: DataFrame) -> DataFrame:
     """Adds the base counts to `text`, which isn't null."""
-    docs = docs.withColumn("words", word_array(F.col("text")))
-    lines = _lines_with_words(F.col("text"))
+    docs = facts(docs)
     # Each window of three words as a long: hash above, position below.
     packed = F.transform(
         "words",
@@ -178,10 +199,7 @@ def _measures(docs: DataFrame) -> DataFrame:
     )
     docs = docs.select(
         "*",
-        F.size("words").cast("long").alias("n_words"),
-        _without(F.col("text"), BLANKS).cast("long").alias("word_chars"),
-        (F.length("text") - _without(F.col("text"), SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(
             F.size("words") >= 3, F.sort_array(F.slice(packed, 1, F.size("words") - 2))
         ).alias("windows"),
@@ -262,7 +280,7 @@ def quality(
     failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > 50 * F.col("n_words")
     )
-    first = F.when(failed, F.lit("base")).otherwise(cascade(ordered(rules, measured), F.col("text")))
+    first = F.when(failed, F.lit("base")).otherwise(cascade(ordered(rules, measured), known()))
     return base.withColumn("rejected_by", first).select(
         F.col("id").alias(id_col),
         "n_words",

@@ -287,7 +287,7 @@ def _joined(texts: DataFrame, side: DataFrame, how: str) -> DataFrame:
     return texts.join(side.hint("shuffle_hash"), on, how).drop("other_id", "other_key")
 
 
-def repeated(
+def spans_to_remove(
     docs: DataFrame,
     length: int = 100,
     gram: int = 20,
@@ -298,7 +298,10 @@ def repeated(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """id, packed text, text_key and `spans` (flat byte intervals, unordered; null if none)."""
+    """id, text_key and `spans` (flat byte intervals, unordered) of texts with any.
+
+    A null id reads as the least long.
+    """
     bounded(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -327,16 +330,23 @@ def repeated(
         .applyInArrow(flagged, "id long, text_key long, flags binary")
         .dropDuplicates(["id", "text_key"])
     )
-    texts = keyed(docs)
     shards = int(total // shard_bytes) + 1
-    spans = _spans(_joined(texts, flags, "inner"), length, gram, shards, block_bytes)
-    gone = (
+    spans = _spans(_joined(keyed(docs), flags, "inner"), length, gram, shards, block_bytes)
+    return (
         spans.groupBy("shard")
         .applyInArrow(_indexed(length), _GONE)
         .groupBy("id", "text_key")
         .agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
-    return _joined(texts, gone, "left")
+
+
+def repeated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """id, packed text, text_key and `spans` (null if none) of every document."""
+    gone = spans_to_remove(docs, id_col=id_col, text_col=text_col, **options)
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return _joined(keyed(docs), gone, "left")
 
 
 def merged(spans: list[int] | None) -> list[tuple[int, int]]:
@@ -394,11 +404,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A cut that would split a UTF-8 character leaves the character's bytes whole.
     """
     columns = docs.columns
-    found = (
-        repeated(docs, id_col=id_col, text_col=text_col, **options)
-        .where("spans is not null")
-        .select(F.col("id").alias("found_id"), F.col("text_key").alias("found_key"), "spans")
-        .dropDuplicates(["found_id", "found_key"])
+    found = spans_to_remove(docs, id_col=id_col, text_col=text_col, **options).select(
+        F.col("id").alias("found_id"), F.col("text_key").alias("found_key"), "spans"
     )
     rows = docs.select(F.struct(*columns).alias("row"), F.col(text_col).alias("text"))
 
@@ -408,9 +415,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column("row"), keys], names=["row", "key"])
 
     struct = rows.schema["row"].dataType.simpleString()
-    on = F.col("row")[id_col].cast("long").eqNullSafe(F.col("found_id")) & (
-        F.col("key") == F.col("found_key")
-    )
+    number = F.coalesce(F.col("row")[id_col].cast("long"), F.lit(_FIRST))
+    on = (number == F.col("found_id")) & (F.col("key") == F.col("found_key"))
     joined = rows.mapInArrow(key, f"row {struct}, key long").join(
         found.hint("shuffle_hash"), on, "left"
     )

@@ -138,8 +138,8 @@ def test_crash_before_the_mark_only_reads_again(spark, world, monkeypatch):
 
     with monkeypatch.context() as patch:
         patch.setattr(ingest.RunLog, "_advance", crash)
-        with pytest.raises(RuntimeError):
-            world.run()
+        (outcome,) = world.run()
+        assert (outcome.status, outcome.error) == (m.FAILED, "driver lost")
     assert world.source().LastWatermarkValue == m.SENTINEL
     (again,) = world.run()
     assert again.rows_copied == 1
@@ -354,3 +354,48 @@ def test_failed_batch_is_replayed_into_the_same_run(spark, world, tmp_path, monk
     assert run_id == failed.RunId
     (replayed,) = world.store.runs().collect()
     assert (replayed.Status, replayed.RowsCopied) == (m.SUCCEEDED, 1)
+
+
+def test_store_that_was_open_during_compaction_loses_nothing(spark, world, base):
+    world.register(source_row())
+    world.tables["Orders"] = source(spark, DAY[1])
+    world.run()
+    ControlStore(spark, base).compact()
+    world.tables["Orders"] = source(spark, DAY[1], DAY[2])
+    world.run()
+    fresh = ControlStore(spark, base)
+    assert fresh.runs().count() == 2
+    assert fresh.history().count() == 2
+
+
+def test_source_switched_off_during_a_batch_does_not_run(spark, world, monkeypatch):
+    world.register(source_row(), source_row(4, "Items"))
+    world.tables["Orders"] = source(spark, DAY[1])
+    world.tables["Items"] = source(spark, DAY[1])
+    run = Ingestion.run_source
+
+    def first_then_off(self, row, batch):
+        off = source_row(4, "Items", IsActive=False)
+        world.register(source_row(), off, version=2)
+        return run(self, row, batch)
+
+    monkeypatch.setattr(Ingestion, "run_source", first_then_off)
+    (outcome,) = world.ingestion.run_active(workers=1)
+    assert outcome.source_id == 3
+
+
+def test_failing_journal_leaves_an_outcome_for_every_source(spark, world, monkeypatch):
+    world.register(source_row(), source_row(4, "Items"))
+    world.tables["Orders"] = source(spark, DAY[1])
+    world.tables["Items"] = source(spark, DAY[1])
+    start = ingest.RunLog.start
+
+    def broken(self, old, high):
+        if self.source.SourceObjectId == 3:
+            raise OSError("journal is gone")
+        start(self, old, high)
+
+    monkeypatch.setattr(ingest.RunLog, "start", broken)
+    outcomes = world.run()
+    assert [(o.source_id, o.status) for o in outcomes] == [(3, m.FAILED), (4, m.SUCCEEDED)]
+    assert outcomes[0].run_id is None

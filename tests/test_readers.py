@@ -2,6 +2,8 @@
 
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import HealthCheck, example, given, settings
@@ -276,3 +278,40 @@ def test_flags_keep_null(spark):
     got = [row[0] for row in readers.flag_columns(df, "IsActive").collect()]
     assert got == [True, False, None]
     assert df.select(F.col("IsActive")).count() == 3
+
+
+def test_jdbc_bounds_of_a_window_leave_old_rows_out():
+    spec = TableSpec("dbo", "Orders", jdbc_url="jdbc:x")
+    query = readers.jdbc_bounds_options(spec, "UpdatedAt", "OrderId", datetime(2026, 1, 2))["query"]
+    new = "CASE WHEN UpdatedAt > '2026-01-02T00:00:00.000' THEN"
+    assert query == (
+        f"SELECT MIN({new} UpdatedAt END) AS LowMark, MAX(UpdatedAt) AS HighMark, "
+        f"MIN({new} OrderId END) AS LowKey, MAX({new} OrderId END) AS HighKey FROM dbo.Orders"
+    )
+
+
+def test_csv_record_may_span_lines(spark, tmp_path):
+    path = Path(tmp_path, "records")
+    path.mkdir()
+    (path / "a.csv").write_text('word,n\n"Mexico\nCity",1\n')
+    spec = FileSpec(m.CSV_FILE, str(path), T.StructType.fromDDL("word string, n int"), multi_line=True)
+    (row,) = readers.read_with_rejects(spark, spec).collect()
+    assert tuple(row) == ("Mexico\nCity", 1, None)
+
+
+def test_scratch_on_a_cluster_needs_a_shared_folder():
+    def session(**conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)))
+
+    with pytest.raises(ValueError, match="shared folder"):
+        scratch(session(**{"spark.master": "spark://host:7077"}))
+    shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://x/tmp"}
+    assert scratch(session(**shared)).startswith("hdfs://x/tmp/")
+
+
+def test_several_documents_need_a_column_of_ids(spark, files):
+    df = read_source(
+        spark, document(files, "source_system_metadata.json", m.SOURCE_METADATA)
+    )
+    with pytest.raises(ValueError, match="several documents"):
+        r.registry_from_metadata(df.union(df), DAY[1])

@@ -190,9 +190,12 @@ def registry_from_metadata(
 ) -> DataFrame:
     """Registry rows of the tables a source system document lists.
 
-    Ids count up from `first_id` within a document. New sources are active and
-    carry the sentinel.
+    Ids count up from `first_id` within a document, so several documents need a
+    column of first ids; a plain number would give them the same ids. New sources are
+    active and carry the sentinel. A document without tables has no rows.
     """
+    if isinstance(first_id, int) and len(documents.select("source_system_name").take(2)) > 1:
+        raise ValueError("several documents need a column of first ids")
     first = F.lit(first_id) if isinstance(first_id, int) else first_id
     listed = documents.select(
         F.col("source_system_name").alias("SourceSystemName"),
@@ -220,7 +223,7 @@ def registry_from_metadata(
 
 
 def explode_adjustments(documents: DataFrame) -> DataFrame:
-    """One row per adjustment, with its batch."""
+    """One row per adjustment, with its batch; a batch without any has no row."""
     return documents.select(
         "adjustment_batch_id",
         "source_system_name",

@@ -48,6 +48,7 @@ class ControlStore:
         return self
 
     def append(self, table: str, rows: DataFrame, entry: str) -> None:
+        self._generation = None  # another store object may have compacted
         self._write(table, rows, self.generation(), entry)
 
     def append_rows(self, table: str, rows: list[dict], entry: str) -> None:
@@ -86,7 +87,7 @@ class ControlStore:
     # --- Generations ----------------------------------------------------------
 
     def generation(self) -> int:
-        """The generation in use; looked up once per store object."""
+        """The generation in use; looked up at first use and before each append."""
         if self._generation is None:
             begun = self.spark.read.schema("Generation int").option(
                 "recursiveFileLookup", True
@@ -99,9 +100,9 @@ class ControlStore:
     def compact(self) -> None:
         """Gather all entries into few files, as a new generation.
 
-        To be called while no load runs; other store objects have to be made
-        anew afterwards. The new generation counts only once it is written in
-        full. The old one is left where it is.
+        To be called while no load runs. Other store objects see the new
+        generation from their next append on. It counts only once it is written
+        in full. The old one is left where it is.
         """
         kept = {
             "source_object": last_source_rows(self.journal("source_object")),

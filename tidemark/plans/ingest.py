@@ -9,6 +9,7 @@ keep the folders of succeeded runs only.
 from __future__ import annotations
 
 import uuid
+from collections import deque
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -39,9 +40,9 @@ def utc_now() -> datetime:
 
 @dataclass(frozen=True)
 class Outcome:
-    """How one run of one source ended."""
+    """How one run of one source ended; no run id if it could not be recorded."""
 
-    run_id: str
+    run_id: str | None
     source_id: int
     status: str
     rows_read: int | None = None
@@ -73,12 +74,30 @@ class Ingestion:
         """One run of every active source, a few at a time.
 
         Sources do not depend on each other: a failure is recorded for its own
-        source and the others go on.
+        source and the others go on. Only ids are listed beforehand, in their
+        order; a source's row is looked up when its run starts, and one that is
+        no longer active by then has no run and no outcome.
         """
         batch = str(uuid.uuid4())
-        rows = active_sources(self.store.registry()).collect()
+        listed = active_sources(self.store.registry()).select("SourceObjectId")
+        outcomes, waiting = [], deque()
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            return list(pool.map(lambda row: self.run_source(row, batch), rows))
+            for (source_id,) in listed.sort("SourceObjectId").toLocalIterator():
+                if len(waiting) >= 2 * workers:
+                    outcomes.append(waiting.popleft().result())
+                waiting.append(pool.submit(self._run_listed, source_id, batch))
+            outcomes += [run.result() for run in waiting]
+        return [outcome for outcome in outcomes if outcome is not None]
+
+    def _run_listed(self, source_id: int, batch: str) -> Outcome | None:
+        try:
+            found = active_sources(self.store.registry()).where(
+                F.col("SourceObjectId") == source_id
+            )
+            source = found.first()
+            return self.run_source(source, batch) if source is not None else None
+        except Exception as error:  # not even the journal could be written
+            return Outcome(None, source_id, FAILED, error=str(error))
 
     def run_source(self, source: Row, pipeline_run_id: str | None = None) -> Outcome:
         """One run of one source, by its type."""

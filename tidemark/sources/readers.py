@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +36,9 @@ class FileSpec:
     path: str
     schema: T.StructType
     header: bool = True
-    # True: a document may span lines, and a file is one task. False: one
-    # document per line, and large files are split.
-    multi_line: bool = True
+    # True: a document or CSV record may span lines, and a file is one task.
+    # False: one per line, and large files are split. None: True for JSON alone.
+    multi_line: bool | None = None
     options: Mapping[str, str] = field(default_factory=dict)
 
 
@@ -94,7 +95,12 @@ def with_reject(spec: FileSpec) -> T.StructType:
 
 def file_options(spec: FileSpec) -> dict[str, str | bool]:
     """Options of a file reader, for batches and streams."""
-    common = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
+    many = spec.source_type == JSON_FILE if spec.multi_line is None else spec.multi_line
+    common = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT_RECORD,
+        "multiLine": many,
+    }
     if spec.source_type == CSV_FILE:
         # Header names are checked against the schema, and all columns are
         # parsed: with pruning, a bad value in an unused column goes unseen.
@@ -105,7 +111,7 @@ def file_options(spec: FileSpec) -> dict[str, str | bool]:
             "columnPruning": False,
         }
     elif spec.source_type == JSON_FILE:
-        own = {"multiLine": spec.multi_line, "timeZone": "UTC"}
+        own = {"timeZone": "UTC"}
     else:
         raise ValueError(f"no file reader for source type {spec.source_type!r}")
     return {**common, **own, **spec.options}
@@ -147,16 +153,30 @@ def jdbc_options(spec: TableSpec) -> dict[str, str]:
 
 
 def jdbc_bounds_options(
-    spec: TableSpec, watermark_column: str, key_column: str | None = None
+    spec: TableSpec,
+    watermark_column: str,
+    key_column: str | None = None,
+    above: datetime | None = None,
 ) -> dict[str, str]:
-    """Options that let the database take the extremes: one row back."""
+    """Options that let the database take the extremes: one row back.
+
+    The high mark is that of all rows; the ends of the ranges are those of the
+    rows above the stored mark, or one range would hold nearly the whole window.
+    """
     options = jdbc_options(spec)
     table = options.pop("dbtable")
     column = qualified(watermark_column)
-    wanted = f"MIN({column}) AS LowMark, MAX({column}) AS HighMark"
+
+    def new(name: str) -> str:
+        if above is None:
+            return name
+        mark = above.isoformat(timespec="milliseconds")
+        return f"CASE WHEN {column} > '{mark}' THEN {name} END"
+
+    wanted = f"MIN({new(column)}) AS LowMark, MAX({column}) AS HighMark"
     if key_column is not None:
         key = qualified(key_column)
-        wanted += f", MIN({key}) AS LowKey, MAX({key}) AS HighKey"
+        wanted += f", MIN({new(key)}) AS LowKey, MAX({new(key)}) AS HighKey"
     options["query"] = f"SELECT {wanted} FROM {table}"
     return options
 

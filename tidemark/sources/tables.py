@@ -79,7 +79,9 @@ class JdbcTables:
 
     def bounds(self, source: Row) -> Bounds:
         key = self.keys.get(source.SourceObjectName)
-        options = jdbc_bounds_options(self.spec(source), source.WatermarkColumn, key)
+        options = jdbc_bounds_options(
+            self.spec(source), source.WatermarkColumn, key, source.LastWatermarkValue
+        )
         row = (
             self._read(options)
             .withColumn("HighMark", to_millis("HighMark"))

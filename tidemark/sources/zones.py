@@ -19,9 +19,13 @@ def zone(base: str, name: str) -> str:
 def scratch(spark: SparkSession) -> str:
     """A new folder under the shared one the session names.
 
-    A local folder serves only where the session names none, as in tests.
+    A local folder serves where the session names none and driver and executors are
+    one machine; elsewhere executors would write to disks that nobody else sees.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir has to name a shared folder on {master!r}")
         shared = tempfile.mkdtemp(prefix="tidemark-")
     return f"{shared.rstrip('/')}/tidemark-{uuid.uuid4()}"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     decontaminate,
     language,
+    licenses,
     minhash,
     packing,
     rules,
@@ -43,6 +44,14 @@ def op1_quality_rules(spark, sf_dir):
     return rules.quality(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+@query
+def op3_license_scans(spark, sf_dir):
+    path = F.concat_ws("/", "source", F.col("doc_id").cast("string"))
+    return licenses.scan(
+        table(spark, sf_dir, "documents"), licenses.template_table(spark), path
+    )
+
+
 @query
 def op6_url_filters(spark, sf_dir):
     return urls.verdicts(table(spark, sf_dir, "pages"), urls.rule_table(spark))

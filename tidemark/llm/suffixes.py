@@ -35,6 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.minhash import mixed
 from tidemark.llm.substrings import (
     block_flags,
     hash_slices,
@@ -70,7 +71,8 @@ def anchors(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray
         at = np.where(later, at[step:], at[:-step])
         size += step
     cut = np.flatnonzero(np.diff(at, prepend=-1))
-    return best[cut], cut, np.append(cut[1:], len(at)) - 1
+    # The least of many hashes lies near 0; ranges and shards need it spread again.
+    return mixed(best[cut]), cut, np.append(cut[1:], len(at)) - 1
 
 
 class RunIndex:
@@ -292,7 +294,7 @@ def spans_to_remove(
     length: int = 100,
     gram: int = 20,
     range_bytes: int = 64 << 20,
-    shard_bytes: int = 256 << 10,
+    shard_bytes: int = 1 << 20,
     block_bytes: int = 4 << 20,
     block_anchors: int = 1 << 18,
     id_col: str = "doc_id",

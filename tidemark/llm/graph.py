@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from tidemark.sources.zones import scratch
 
 
-def stored(frame: DataFrame) -> DataFrame:
-    """The frame, written to the shared folder and read again; cuts the lineage."""
+def stored(frame: DataFrame, *folders: str) -> DataFrame:
+    """The frame, written to the shared folder and read again; cuts the lineage.
+
+    Rows may be put in a folder for each value of some columns.
+    """
     path = scratch(frame.sparkSession)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
+    frame.write.partitionBy(*folders).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:

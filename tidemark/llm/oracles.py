@@ -165,3 +165,52 @@ ORACLES: dict[str, str] = {
     "op7_decontaminate": _BENCHMARK,
     "op8_minhash": _NEAR,
 }
+
+_AUDIT = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS part,
+    coalesce(text, '') AS t, {_split("coalesce(text, '')")} AS w FROM documents
+), f AS (
+  SELECT d.*, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad,
+    len(w) < 200 AS a,
+    100 * len(list_distinct(w)) < 50 * len(w) AS b,
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c,
+    regexp_matches(t, '[#$%&*|]') AS d,
+    coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false) AS e
+  FROM d LEFT JOIN (
+    SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id
+  ) l ON d.doc_id = l.doc_id
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT p.x || q.x || r.x || s.x || t.x AS o
+  FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+), steps AS (
+  SELECT o AS filter_order, unnest(range(1, 6))::INTEGER AS step FROM orders
+), failed AS (
+  SELECT part, list_sort(list_filter([
+      CASE WHEN a THEN 'A' END, CASE WHEN b THEN 'B' END, CASE WHEN c THEN 'C' END,
+      CASE WHEN d THEN 'D' END, CASE WHEN e THEN 'E' END], lambda x: x IS NOT NULL)) AS fails,
+    count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad
+  FROM f GROUP BY ALL
+), applied AS (
+  SELECT part, filter_order, step, n, good, bad,
+    list_contains(fails, filter_order[step]) AS own, len(fails) AS all_fails,
+    len(list_filter(fails, lambda x: instr(filter_order[1 : step - 1], x) > 0)) AS before
+  FROM failed, steps
+), counts AS (
+  SELECT part, filter_order, step,
+    coalesce(sum(n) FILTER (WHERE before = 0 AND NOT own), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE before = 0 AND own), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE before > 0 AND own), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (WHERE all_fails = 1 AND own), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE before = 0 AND own), 0)::BIGINT AS good_lost,
+    coalesce(sum(bad) FILTER (WHERE before = 0 AND own), 0)::BIGINT AS toxic_lost
+  FROM applied GROUP BY ALL
+)
+SELECT *, (sum(removed) OVER (PARTITION BY part, filter_order[step]))::BIGINT AS shapley
+FROM counts
+"""
+
+ORACLES["op11_filter_audit"] = _AUDIT

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    audit,
     decontaminate,
     language,
     licenses,
@@ -116,3 +117,8 @@ def op4_language(spark, sf_dir):
         "lang_pred",
         "score",
     )
+
+
+@query
+def op11_filter_audit(spark, sf_dir):
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -214,3 +214,61 @@ FROM counts
 """
 
 ORACLES["op11_filter_audit"] = _AUDIT
+
+_TRIE = f"""
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))
+), own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (
+      PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))
+    ) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT DISTINCT c, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT) AS b
+  FROM own
+), convs AS (
+  SELECT c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b),
+    lambda s, x: xor(s >> 8, tab[(xor(s, x) & 255) + 1]))) % 4 AS h
+  FROM ids, crc_table
+), parts AS (
+  SELECT convs.c, 0 AS part, p, role, text
+  FROM convs JOIN own ON own.c = convs.c - convs.c % 20 AND p <= h
+  UNION ALL
+  SELECT convs.c, 1, p, role, text FROM convs JOIN own ON own.c = convs.c AND p > h
+), rebuilt AS (
+  SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY part, p) AS d FROM parts
+  UNION ALL SELECT c, NULL, NULL, 0 FROM convs
+), named AS (
+  SELECT c, d, coalesce(len({_split("text")}), 0) AS words,
+    string_agg(coalesce(md5(role) || md5(text), '/'), '') OVER (PARTITION BY c ORDER BY d) AS k,
+    d = max(d) OVER (PARTITION BY c) AS last
+  FROM rebuilt
+), up AS (
+  SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS above FROM named
+), nodes AS (
+  SELECT k, d AS depth, any_value(above) AS above, min(c) AS conv_id, count(*) AS n_convs,
+    any_value(words) AS words, count(*) FILTER (WHERE last) AS n_ends,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE last), '') AS ends
+  FROM up GROUP BY k, d
+), below AS (
+  SELECT DISTINCT x.k, y.k AS other FROM named x JOIN named y ON x.c = y.c AND x.d <= y.d
+), sums AS (
+  SELECT below.k, count(*) FILTER (WHERE n_ends = n_convs) AS n_leaves,
+    sum((n_convs - 1) * words) AS saved
+  FROM below JOIN nodes ON nodes.k = below.other GROUP BY below.k
+), children AS (
+  SELECT above AS k, count(*) AS n FROM nodes GROUP BY above
+)
+SELECT nodes.conv_id, nodes.depth::BIGINT AS depth, parent.conv_id AS parent_conv_id,
+  nodes.n_convs::BIGINT AS n_convs, coalesce(children.n, 0)::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(nodes.ends) AS ends_sha256
+FROM nodes JOIN sums ON sums.k = nodes.k
+LEFT JOIN nodes parent ON parent.k = nodes.above
+LEFT JOIN children ON children.k = nodes.k
+"""
+
+ORACLES["op12_prefix_trie"] = _TRIE

@@ -18,6 +18,7 @@ from tidemark.llm import (
     substrings,
     suffixes,
     toxicity,
+    trie,
     urls,
 )
 from tidemark.llm.text import table
@@ -122,3 +123,8 @@ def op4_language(spark, sf_dir):
 @query
 def op11_filter_audit(spark, sf_dir):
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return trie.prefix_nodes(table(spark, sf_dir, "conversations"))

@@ -14,6 +14,7 @@ from tidemark.llm import (
     licenses,
     minhash,
     packing,
+    pii,
     rules,
     substrings,
     suffixes,
@@ -128,3 +129,8 @@ def op11_filter_audit(spark, sf_dir):
 @query
 def op12_prefix_trie(spark, sf_dir):
     return trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_pii(spark, sf_dir):
+    return pii.report(table(spark, sf_dir, "documents"))

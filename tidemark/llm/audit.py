@@ -122,72 +122,81 @@ def audit(
     ids = stored(rows.select(F.explode("fails").alias("filter"), "rid"), "filter")
     bits = F.create_map(*(F.lit(x) for pair in bit.items() for x in pair))
     ids = ids.select(
-        F.col("rid").alias("failed"), "filter", bits[F.col("filter")].alias("bit")
+        F.col("rid").alias("failed"), bits[F.col("filter")].alias("bit")
     ).hint("shuffle_hash")
     some = rows.where(F.size("fails") > 0).select("rid", "part", "good", "toxic").repartition("rid")
 
-    def prefixes(frame: DataFrame, within: list[int]) -> DataFrame:
-        choice = F.explode(F.array(*map(F.lit, within)))
-        return frame.withColumn("prefix", choice)
-
-    same = F.col("rid") == F.col("failed")
-    in_prefix = same & (F.col("prefix").bitwiseAND(F.col("bit")) != 0)
-
-    def counted(frame: DataFrame, name: str, **more) -> DataFrame:
-        sums = {name: F.count("*"), **more}
-        return frame.groupBy("part", "prefix").agg(*(v.alias(k) for k, v in sums.items()))
-
-    survive = counted(prefixes(some, list(sets)).join(ids, in_prefix, "left_anti"), "dirty")
-    removed, redundant = [], []
-    for name in names:
-        own = some.join(ids.where(F.col("filter") == name), same, "left_semi")
-        after = prefixes(own, [s for s in sets if not s & bit[name]])
-        gone = counted(
-            after.join(ids, in_prefix, "left_anti"),
-            "removed",
-            good_lost=F.count_if("good"),
-            toxic_lost=F.count_if("toxic"),
+    def failed(mark: str) -> Column:
+        """The id is in a table of the filters marked."""
+        return (F.col("rid") == F.col("failed")) & (F.col(mark).bitwiseAND(F.col("bit")) != 0)
+
+    def each(name: str, values) -> Column:
+        return F.explode(F.array(*map(F.lit, values))).alias(name)
+
+    survivors = some.select("*", each("prefix", sets)).join(ids, failed("prefix"), "left_anti")
+    after = F.explode(
+        F.filter(F.array(*map(F.lit, sets)), lambda s: s.bitwiseAND(F.col("own")) == 0)
+    ).alias("prefix")
+    own = some.select("*", each("own", bit.values())).join(ids, failed("own"), "left_semi")
+    own = own.select("*", after)
+    removed = own.join(ids, failed("prefix"), "left_anti")
+    redundant = own.join(ids, failed("prefix"), "left_semi")
+    names_of = ("dirty", "removed", "good_lost", "toxic_lost", "redundant")
+
+    def counts(frame: DataFrame, **ones) -> DataFrame:
+        have = [F.coalesce(ones.get(n, F.lit(0)).cast("long"), F.lit(0)).alias(n) for n in names_of]
+        set_of = F.lit(0) if "own" not in frame.columns else F.col("own")
+        return frame.select("part", "prefix", set_of.alias("own"), *have)
+
+    one = F.lit(1)
+    counted = stored(
+        counts(survivors, dirty=one)
+        .unionByName(
+            counts(removed, removed=one, good_lost=F.col("good"), toxic_lost=F.col("toxic"))
         )
-        twice = counted(after.join(ids, in_prefix, "left_semi"), "redundant")
-        removed.append(gone.withColumn("filter", F.lit(name)))
-        redundant.append(twice.withColumn("filter", F.lit(name)))
+        .unionByName(counts(redundant, redundant=one))
+        .groupBy("part", "prefix", "own")
+        .agg(*(F.sum(n).alias(n) for n in names_of))
+    )
 
     parts = rows.groupBy("part").agg(
         F.count("*").alias("total"), F.count_if(F.size("fails") > 0).alias("some")
     )
     steps = docs.sparkSession.createDataFrame(
         [
-            ("".join(order), step, sum(bit[x] for x in order[: step - 1]), name)
+            ("".join(order), step, sum(bit[x] for x in order[: step - 1]), bit[name])
             for order in permutations(names)
             for step, name in enumerate(order, 1)
         ],
-        "filter_order string, step int, prefix int, filter string",
+        "filter_order string, step int, prefix int, own int",
     )
-    cells = [(s, n) for s in sets for n in names if not s & bit[n]]
+    cells = [(s, b) for s in sets for b in bit.values() if not s & b]
     cell = F.explode(
-        F.array(*(F.struct(F.lit(s).alias("prefix"), F.lit(n).alias("filter")) for s, n in cells))
+        F.array(*(F.struct(F.lit(s).alias("prefix"), F.lit(b).alias("own")) for s, b in cells))
     )
-    key = ["part", "prefix", "filter"]
     table = (
         parts.withColumn("cell", cell)
         .select("part", "total", "some", "cell.*")
-        .withColumn("next", F.col("prefix").bitwiseOR(bits[F.col("filter")]))
-        .join(_union(removed), key, "left")
-        .join(_union(redundant), key, "left")
-        .join(survive.withColumnRenamed("prefix", "next"), ["part", "next"], "left")
-        .na.fill(0, ["removed", "good_lost", "toxic_lost", "redundant", "dirty"])
+        .withColumn("next", F.col("prefix").bitwiseOR(F.col("own")))
+        .join(counted.where("own > 0").drop("dirty"), ["part", "prefix", "own"], "left")
+        .join(
+            counted.where("own = 0").select("part", F.col("prefix").alias("next"), "dirty"),
+            ["part", "next"],
+            "left",
+        )
+        .na.fill(0, list(names_of))
     )
     # A prefix of k filters comes before a filter in k! (n - k - 1)! orders.
     size, last = F.bit_count("prefix"), len(names) - 1
     weights = F.array(*(F.lit(factorial(k) * factorial(last - k)) for k in range(last + 1)))
     full = F.lit(sets[-1])
-    sums = table.groupBy("part", "filter").agg(
+    sums = table.groupBy("part", "own").agg(
         F.sum(F.col("removed") * F.get(weights, size)).alias("shapley"),
         F.max(F.when(F.col("next") == full, F.col("removed"))).alias("unique_fails"),
     )
     return (
-        table.join(sums, ["part", "filter"])
-        .join(F.broadcast(steps), ["prefix", "filter"])
+        table.join(sums, ["part", "own"])
+        .join(F.broadcast(steps), ["prefix", "own"])
         .select(
             "part",
             "filter_order",
@@ -201,10 +210,3 @@ def audit(
             "shapley",
         )
     )
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out

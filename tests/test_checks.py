@@ -4,6 +4,7 @@ from contextlib import contextmanager
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.samples import DAY, ORDERS_ID, history, history_row, registry, run_row, runs
 from tests.samples import source, source_row
@@ -233,50 +234,50 @@ def test_at_most(spark):
     assert not joins.at_most(spark.range(6), 5)
 
 
-@pytest.mark.parametrize("share", [2, 20, 10_000])
+@contextmanager
+def joined_without_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("salts", [1, 3, 16])
 @pytest.mark.parametrize("how", ["inner", "left_semi"])
-def test_split_join_is_the_same_join(spark, how, share, monkeypatch):
+def test_salted_join_is_the_same_join(spark, how, salts):
     """Most rows share one key, some have none; the side has keys to spare."""
     rows = spark.range(1000, numPartitions=7).selectExpr(
         "CASE WHEN id < 600 THEN 0 WHEN id < 900 THEN id % 50 END AS k", "id"
     )
     side = spark.range(0, 60, 2).selectExpr("id AS k", "id * 10 AS v")
-    small = joins.join_side(rows, side, "k", how)
-    monkeypatch.setattr(joins, "HOT_SHARE", share)
-    large = joins.join_side(rows, side, "k", how, bound=0)
-    assert small.columns == large.columns
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
-
+    plain = rows.join(side, "k", how)
+    for _ in range(2):
+        salted = joins.join_side(rows, side, "k", how, salts)
+        assert salted.columns == plain.columns
+        assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
 
-def test_hot_keys_are_few_and_right(spark, monkeypatch):
-    rows = spark.range(1000).selectExpr("CASE WHEN id < 400 THEN 7 ELSE id END AS k")
-    monkeypatch.setattr(joins, "HOT_SHARE", 3)
-    assert joins.hot_keys(rows, "k") == [7]
-    monkeypatch.setattr(joins, "HOT_SHARE", 2)
-    assert joins.hot_keys(rows, "k") == []
 
-
-def test_rows_of_hot_keys_are_not_shuffled(spark, capsys, monkeypatch):
-    rows = spark.range(1000).selectExpr("CASE WHEN id < 400 THEN 7 ELSE id END AS k")
-    side = spark.range(1000).selectExpr("id AS k", "id AS v")
-    monkeypatch.setattr(joins, "HOT_SHARE", 3)
+def test_rows_of_a_hot_key_are_dealt_in_one_pass(spark, base, capsys):
+    """One scan of the rows, and the hot key's rows in as many parts as there are salts."""
+    spark.range(4000).selectExpr("CASE WHEN id < 3000 THEN 7 ELSE id END AS k", "id").write.parquet(
+        f"{base}/rows"
+    )
+    rows = spark.read.parquet(f"{base}/rows")
+    side = spark.range(4000).selectExpr("id AS k", "id AS v")
     with joined_without_broadcast(spark):
-        joins.join_side(rows, side, "k", bound=0).groupBy("k").count().explain()
+        joined = joins.join_side(rows, side, "k", salts=8)
+        joined.explain()
         plan = capsys.readouterr().out
-    # Only the other keys: a shuffle per side, and the counts of both parts.
-    assert "BroadcastHashJoin" in plan
-    assert "SortMergeJoin" in plan
-    assert plan.count("Exchange hashpartitioning(k") == 3
-    assert "partial_count" in plan
-
-
-@contextmanager
-def joined_without_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        yield
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert plan.count("FileScan parquet") == 1
+        assert plan.count("Exchange hashpartitioning(k") == 2
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            parts = joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(row["count"] for row in parts) == 3000
+    assert len(parts) > 2
 
 
 def test_failed_runs_split_by_history(spark):
@@ -296,6 +297,36 @@ def test_failed_runs_split_by_history(spark):
     assert [r.RunId for r in journals.failed_without_history(log, hist).collect()] == ["b"]
 
 
+def test_facts_of_journals_come_from_one_scan_each(spark, base, capsys):
+    reg = registry(spark, source_row(1, "A", DAY[1]), source_row(2, "B", DAY[1]))
+    runs(
+        spark,
+        run_row("a", m.FAILED, DAY[1], 1), run_row("b", m.FAILED, DAY[2], 1),
+        run_row("c", m.SUCCEEDED, DAY[3], 1), run_row("d", m.RUNNING, DAY[3], 2),
+        run_row("e", m.FAILED, DAY[3], 9),
+    ).write.parquet(f"{base}/runs")
+    history(
+        spark,
+        history_row(1, "a", DAY[1], 1), history_row(2, "b", DAY[2], 2),
+        history_row(3, "b", DAY[3], 1), history_row(4, "e", DAY[3], 9),
+        history_row(5, None, DAY[3], 2), history_row(6, "zz", DAY[4], 2),
+    ).write.parquet(f"{base}/hist")
+    facts = checks.source_facts(
+        reg, spark.read.parquet(f"{base}/runs"), spark.read.parquet(f"{base}/hist")
+    )
+    facts.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan parquet") == 2
+    # Traces are the entries of the failed run, whichever source they name.
+    got = {r.SourceObjectId: r for r in facts.collect()}
+    assert set(got) == {1, 2}
+    assert (got[1].FailedRunId, got[1].History_Rows, got[1].WatermarkHistory_Count) == ("b", 2, 2)
+    assert (got[1].Failed_Run_Count, got[1].Succeeded_Run_Count) == (2, 1)
+    assert got[1].Last_History_Watermark == DAY[3]
+    assert (got[2].FailedRunId, got[2].History_Rows, got[2].WatermarkHistory_Count) == (None, 0, 3)
+    assert (got[2].Running_Run_Count, got[2].Last_History_Watermark) == (1, DAY[4])
+
+
 def test_operational_summary(spark):
     reg = registry(spark, source_row(mark=DAY[1]), source_row(4, "OrderItems"))
     log = runs(spark, FAILED_RUN, GOOD_RUN)

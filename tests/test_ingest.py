@@ -264,7 +264,7 @@ def test_unfinished_compaction_does_not_count(spark, world, base, monkeypatch):
     world.tables["Orders"] = source(spark, DAY[1])
     world.run()
 
-    def crash(self, generation):
+    def crash(self, generation, state):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
@@ -330,30 +330,172 @@ def test_new_files_as_a_stream(spark, world, tmp_path):
     assert len(list(folders.glob("run_id=*"))) == 2
 
 
-def test_failed_batch_is_replayed_into_the_same_run(spark, world, tmp_path, monkeypatch):
+def bronze_texts(world, folder, source_id=7):
+    rows = world.spark.read.text(f"{world.base}/bronze/{folder}")
+    return [r.value for r in succeeded_only(rows, world.store.runs(), source_id).collect()]
+
+
+def test_each_attempt_at_a_batch_is_a_run(spark, world, tmp_path, monkeypatch):
     import json
 
     from tidemark.streaming import landing as stream
 
-    landing, step = stream_world(
-        world, tmp_path, m.JSON_FILE, "files/json/adjust", m.MANUAL_ADJUSTMENTS
-    )
-    (landing / "a.json").write_text(json.dumps(MANUAL_ADJUSTMENTS, indent=2))
+    folder = "files/json/adjust"
+    landing, step = stream_world(world, tmp_path, m.JSON_FILE, folder, m.MANUAL_ADJUSTMENTS)
+    text = json.dumps(MANUAL_ADJUSTMENTS)
+    (landing / "a.json").write_text(text)
+    copy = stream.copy_frame
 
     def refuse(*args):
+        copy(*args)  # all is written; then the attempt fails
         raise RuntimeError("no space")
 
+    for number in (1, 2):
+        with monkeypatch.context() as patch:
+            patch.setattr(stream, "copy_frame", refuse)
+            with pytest.raises(Exception, match="no space"):
+                step()
+        assert world.store.runs().where("Status = 'Failed'").count() == number
+    # Nothing of a batch counts that has only failed.
+    assert bronze_texts(world, folder) == []
+
+    (run_id,) = step()
+    log = {r.RunId: r for r in world.store.runs().collect()}
+    assert len(log) == 3 and run_id.endswith("-attempt-3")
+    assert (log[run_id].Status, log[run_id].RowsCopied) == (m.SUCCEEDED, 1)
+    assert bronze_texts(world, folder) == [text]
+
+
+def test_replay_of_a_batch_that_has_succeeded_copies_nothing(spark, world, tmp_path, monkeypatch):
+    """The stream is lost after the run is logged and before the batch is committed."""
+    from tidemark.streaming import landing as stream
+
+    folder = "files/csv/rates"
+    landing, step = stream_world(world, tmp_path, m.CSV_FILE, folder, m.CURRENCY_RATES)
+    (landing / "a.csv").write_text(CURRENCY_RATES)
+    complete = ingest.RunLog.complete
+
+    def lost(self, counts, mark):
+        complete(self, counts, mark)
+        raise RuntimeError("stream lost")
+
     with monkeypatch.context() as patch:
-        patch.setattr(stream, "copy_frame", refuse)
-        with pytest.raises(Exception, match="no space"):
+        patch.setattr(ingest.RunLog, "complete", lost)
+        with pytest.raises(Exception, match="stream lost"):
             step()
-    (failed,) = world.store.runs().collect()
-    assert failed.Status == m.FAILED
+    with monkeypatch.context() as patch:
+        patch.setattr(stream, "copy_frame", lambda *args: pytest.fail("copied again"))
+        ((run_id, counts),) = step().items()
+    assert (counts.read, counts.copied) == (9, 9)
+    assert [r.RunId for r in world.store.runs().collect()] == [run_id]
+    assert len(bronze_texts(world, folder)) == 10
+
+
+def test_attempt_whose_driver_was_lost_is_closed(spark, world, tmp_path, monkeypatch):
+    folder = "files/csv/rates"
+    landing, step = stream_world(world, tmp_path, m.CSV_FILE, folder, m.CURRENCY_RATES)
+    (landing / "a.csv").write_text(CURRENCY_RATES)
 
+    def lost(self, *args):
+        raise SystemError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest.RunLog, "complete", lost)
+        with pytest.raises(Exception, match="driver lost"):
+            step()
+    assert [r.Status for r in world.store.runs().collect()] == [m.RUNNING]
     (run_id,) = step()
-    assert run_id == failed.RunId
-    (replayed,) = world.store.runs().collect()
-    assert (replayed.Status, replayed.RowsCopied) == (m.SUCCEEDED, 1)
+    log = {r.RunId: r for r in world.store.runs().collect()}
+    (other,) = set(log) - {run_id}
+    assert (log[other].Status, log[run_id].Status) == (m.FAILED, m.SUCCEEDED)
+    assert run_id in log[other].ErrorMessage
+
+
+def test_new_checkpoint_never_writes_an_old_folder(spark, world, tmp_path):
+    folder = "files/csv/rates"
+    landing, _ = stream_world(world, tmp_path, m.CSV_FILE, folder, m.CURRENCY_RATES)
+    (landing / "a.csv").write_text(CURRENCY_RATES)
+    spec = FileSpec(m.CSV_FILE, str(landing), m.CURRENCY_RATES)
+    for name in ("one", "two"):
+        ingest_new_files(
+            world.store, world.source("files"), spec, str(tmp_path / name), world.clock
+        )
+    assert world.store.runs().where("Status = 'Succeeded'").count() == 2
+    assert len(list(Path(f"{world.base}/bronze/{folder}").glob("run_id=*"))) == 2
+    assert len(bronze_texts(world, folder)) == 20
+
+
+def test_entry_that_meets_a_compaction_is_not_lost(spark, world, base, monkeypatch):
+    """A whole compaction between an appender's look at the generation and its write, and
+    one that has gathered the entry before the appender writes it again."""
+    world.register(source_row())
+    write = ControlStore._write
+    for late in (True, False):
+        with monkeypatch.context() as patch:
+
+            def interleaved(self, table, rows, generation, entry, late=late):
+                patch.setattr(ControlStore, "_write", write)
+                if late:
+                    ControlStore(spark, base).compact()
+                    write(self, table, rows, generation, entry)
+                else:
+                    write(self, table, rows, generation, entry)
+                    ControlStore(spark, base).compact()
+
+            patch.setattr(ControlStore, "_write", interleaved)
+            row = {
+                "WatermarkHistoryId": int(late), "SourceObjectId": 3, "RunId": f"r{late}",
+                "NewWatermarkValue": DAY[2 - late], "AppliedAt": DAY[3 - late],
+            }
+            world.store.append_rows("watermark_history", [row], f"r{late}")
+    for store in (world.store, ControlStore(spark, base)):
+        assert sorted(r.RunId for r in store.history().collect()) == ["rFalse", "rTrue"]
+    assert world.source().LastWatermarkValue == DAY[2]
+
+
+def test_readers_see_all_entries_while_a_compaction_runs(spark, world, base, monkeypatch):
+    world.register(source_row())
+    world.tables["Orders"] = source(spark, DAY[1])
+    world.run()
+    begin, seen = ControlStore._begin, []
+
+    def watched(self, generation, state):
+        if state == "complete":  # all is gathered, and the old generation still holds
+            seen.append(ControlStore(spark, base).runs().count())
+            world.tables["Orders"] = source(spark, DAY[1], DAY[2])
+            world.run()
+            seen.append(ControlStore(spark, base).runs().count())
+        begin(self, generation, state)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ControlStore, "_begin", watched)
+        ControlStore(spark, base).compact()
+    fresh = ControlStore(spark, base)
+    assert seen == [1, 2]
+    assert fresh.runs().count() == 2 and fresh.history().count() == 2
+    assert fresh.registry().first().LastWatermarkValue == DAY[2]
+
+
+def test_source_row_is_read_from_its_own_file(spark, world, monkeypatch):
+    world.register(source_row(), source_row(4, "Items"))
+    world.store.save_snapshot()
+    with monkeypatch.context() as patch:
+        patch.setattr(ControlStore, "journal", lambda *a: pytest.fail("folded"))
+        row = world.store.source_row(3)
+        assert (row.SourceObjectName, row.LastWatermarkValue) == ("Orders", m.SENTINEL)
+    assert world.store.source_row(99) is None
+    world.tables["Orders"] = source(spark, DAY[1])
+    world.tables["Items"] = source(spark, DAY[2])
+    world.run()
+    with monkeypatch.context() as patch:
+        patch.setattr(ControlStore, "journal", lambda *a: pytest.fail("folded"))
+        assert world.store.source_row(3).LastWatermarkValue == DAY[1]
+        # Another store object, as in another process.
+        other = ControlStore(spark, world.base)
+        assert other.source_row(4).LastWatermarkValue == DAY[2]
+    world.register(source_row(4, "Items", IsActive=False), version=2)
+    row = world.store.source_row(4)
+    assert (row.IsActive, row.LastWatermarkValue) == (False, DAY[2])
 
 
 def test_store_that_was_open_during_compaction_loses_nothing(spark, world, base):

@@ -18,6 +18,7 @@ from tidemark.functions import instant_to_ntz
 from tidemark.operators import registry as r
 from tidemark.operators.copies import copy_file, write_file
 from tidemark.sources import readers
+from tidemark.sources.raw import read_raw, record_pattern, split_records
 from tidemark.sources.readers import FileSpec, TableSpec, read_source
 from tidemark.sources.tables import Bounds, FrameTables, JdbcTables
 from tidemark.sources.zones import scratch, zone
@@ -146,10 +147,120 @@ def test_csv_copy_keeps_lines(spark, files, base):
 def test_json_copy_keeps_documents(spark, files, base):
     spec = document(files, "manual_adjustments.json", m.MANUAL_ADJUSTMENTS)
     assert copy_file(spark, spec, f"{base}/good", f"{base}/bad").copied == 1
-    again = FileSpec(m.JSON_FILE, f"{base}/good", spec.schema, multi_line=False)
+    again = FileSpec(m.JSON_FILE, f"{base}/good", spec.schema)
     assert read_source(spark, again).collect() == read_source(spark, spec).collect()
-    line = spark.read.text(f"{base}/good").first().value
-    assert '"created_at":"2026-05-11T00:00:00.000Z"' in line
+    (part,) = Path(base, "good").glob("part-*")
+    assert part.read_text().rstrip("\n") == Path(spec.path).read_text().rstrip("\n")
+
+
+def test_json_copy_keeps_what_no_schema_declares(spark, tmp_path, base):
+    texts = {
+        "a": '{\n "adjustment_batch_id": "x", "n": 1.50,\n "extra": {"deep": [null]}\n}',
+        "b": '[{"adjustments": [ ]}, {"created_at": "2026-05-11T00:00:00.000Z", "z": 0}]\n',
+        "c": '[{"adjustments": []}, {"adjustments": 5}]',
+        "d": "\n",
+    }
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for name, text in texts.items():
+        (landing / f"{name}.json").write_text(text)
+    spec = FileSpec(m.JSON_FILE, str(landing), m.MANUAL_ADJUSTMENTS)
+    counts = copy_file(spark, spec, f"{base}/good", f"{base}/bad")
+    assert (counts.read, counts.copied, counts.rejected) == (3, 2, 1)
+    got = sorted(part.read_text().rstrip("\n") for part in Path(base, "good").glob("part-*"))
+    assert got == sorted(texts[k].rstrip("\n") for k in "ab")
+    rejected = spark.read.schema(f"{m.CORRUPT_RECORD} string, x int").json(
+        f"{base}/bad", columnNameOfCorruptRecord="_unused"
+    )
+    assert [row[0] for row in rejected.collect()] == [texts["c"]]
+
+
+def test_csv_copy_keeps_every_record(spark, tmp_path, base):
+    """Quoted breaks and quotes, spelled-out numbers, carriage returns; a header a file."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.csv").write_bytes(
+        b'Word,N,X\r\n"Mex""ico\nCi,ty",01,17.05006\r\nplain"q,5,5\n\n,3,\nbad,zz,1\n"open,1,1\n'
+    )
+    (landing / "b.csv").write_bytes(b'"word",n,x\nlast,7,1e3')
+    schema = T.StructType.fromDDL("word string, n int, x decimal(10,4)")
+    spec = FileSpec(m.CSV_FILE, str(landing), schema, multi_line=True)
+    records = {(row.Record, row.Fits) for row in read_raw(spark, spec).collect()}
+    assert records == {
+        ('"Mex""ico\nCi,ty",01,17.05006\r', True), ('plain"q,5,5', True), (",3,", True),
+        ("bad,zz,1", False), ('"open,1,1\n', False), ("last,7,1e3", True),
+    }
+    counts = copy_file(spark, spec, f"{base}/good", f"{base}/bad")
+    assert (counts.read, counts.copied, counts.rejected) == (6, 4, 2)
+    parts = [part.read_bytes() for part in Path(base, "good").glob("part-*")]
+    heads = [b"word,n,x\r\n", b"word,n,x\n"]
+    assert all(part.startswith(tuple(heads)) for part in parts)
+    body = b"".join(sorted(part.split(b"\n", 1)[1] for part in parts))
+    assert body == b'"Mex""ico\nCi,ty",01,17.05006\r\nplain"q,5,5\n,3,\nlast,7,1e3\n'
+
+
+def test_copy_of_a_file_with_carriage_returns_reads_as_before(spark, tmp_path, base):
+    path = tmp_path / "a.csv"
+    path.write_bytes(b'word,n\r\n"a\r\nb",1\r\nc,2\r\n')
+    schema = T.StructType.fromDDL("word string, n int")
+    for many in (True, False):
+        spec = FileSpec(m.CSV_FILE, str(path), schema, multi_line=many)
+        counts = copy_file(spark, spec, f"{base}/good", f"{base}/bad")
+        assert counts.copied == 2
+        (part,) = Path(base, "good").glob("part-*")
+        if many:
+            assert part.read_bytes() == path.read_bytes()
+        copied = FileSpec(m.CSV_FILE, f"{base}/good", schema, multi_line=many)
+        assert ("c", 2) in {tuple(row) for row in read_source(spark, copied).collect()}
+
+
+def test_header_of_every_file_is_checked(spark, tmp_path, base):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.csv").write_text("word,n\nx,1\n")
+    (landing / "b.csv").write_text("n,word\n1,x\n")
+    schema = T.StructType.fromDDL("word string, n string")
+    for many in (True, False):
+        spec = FileSpec(m.CSV_FILE, str(landing), schema, multi_line=many)
+        with pytest.raises(Exception, match="header"):
+            copy_file(spark, spec, f"{base}/good", f"{base}/bad")
+
+
+def test_splits_of_a_large_file_lose_only_the_header(spark, tmp_path, base):
+    path = tmp_path / "large.csv"
+    lines = [f"w{i},{i}" for i in range(5000)]
+    path.write_text("\n".join(["word,n", *lines]) + "\n")
+    spec = FileSpec(m.CSV_FILE, str(path), T.StructType.fromDDL("word string, n int"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = read_raw(spark, spec)
+        assert rows.rdd.getNumPartitions() > 5
+        assert sorted(r.Record for r in rows.collect()) == sorted(lines)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(
+        st.lists(st.text(st.sampled_from('ab",\n é'), max_size=6), min_size=2, max_size=3),
+        max_size=6,
+    )
+)
+def test_records_are_split_where_a_csv_writer_ended_them(rows):
+    import csv as plain_csv
+    import io
+
+    spec = FileSpec(m.CSV_FILE, "", WORDS)
+    out, whole = [], io.StringIO()
+    for row in rows:
+        line = io.StringIO()
+        plain_csv.writer(line, lineterminator="\n").writerow(row)
+        out.append(line.getvalue().removesuffix("\n"))
+        whole.write(line.getvalue())
+    assert list(split_records(whole.getvalue(), record_pattern(spec))) == out
 
 
 WORDS = T.StructType(
@@ -309,6 +420,43 @@ def test_scratch_on_a_cluster_needs_a_shared_folder():
     assert scratch(session(**shared)).startswith("hdfs://x/tmp/")
 
 
+@pytest.mark.parametrize("key", ["OrderId", None])
+@pytest.mark.parametrize("ranges", [1, 7, 16])
+def test_jdbc_ranges_of_a_burst_have_equal_counts(spark, monkeypatch, key, ranges):
+    """The SQL as a database in this process runs it: most rows have one mark, keys have a
+    gap. The Spark side of JDBC isn't run."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE SCHEMA dbo")
+    con.execute(
+        """CREATE TABLE dbo.Orders AS SELECT i * CASE WHEN i < 900 THEN 1 ELSE 1000 END AS OrderId,
+        CASE WHEN i < 10 THEN NULL WHEN i < 800 THEN TIMESTAMP '2026-01-03 00:00:00.123'
+        ELSE TIMESTAMP '2026-01-01' + INTERVAL (i) MINUTE END AS UpdatedAt FROM range(1000) t(i)"""
+    )
+    tables = JdbcTables(spark, "jdbc:x", ranges, keys={"Orders": key} if key else None)
+
+    class Found:
+        def __init__(self, query):
+            self.rows = con.execute(query).fetchall()
+
+        def collect(self):
+            return self.rows
+
+    monkeypatch.setattr(JdbcTables, "_read", lambda self, options: Found(options["query"]))
+    bounds = Bounds(datetime(2026, 1, 3, 0, 0, 0, 123000), DAY[1])
+    predicates = tables.window_predicates(ORDERS_ROW, DAY[1], bounds)
+    counts = [
+        con.execute(f"SELECT count(*) FROM dbo.Orders WHERE {p} AND UpdatedAt > '2026-01-01'").fetchone()[0]
+        for p in predicates
+    ]
+    assert sum(counts) == 990, "every row with a mark is in just one range"
+    if key:
+        assert len(counts) == ranges and max(counts) <= -(-990 // ranges)
+    else:
+        assert len(counts) <= ranges
+
+
 def test_several_documents_need_a_column_of_ids(spark, files):
     df = read_source(
         spark, document(files, "source_system_metadata.json", m.SOURCE_METADATA)

@@ -147,9 +147,10 @@ def test_shared_rows_give_the_same_as_tables_of_their_own(spark, small, rows, ma
     reg = registry(spark, *[source_row(i, f"T{i}", marks[i - 1]) for i in (1, 2, 3)])
     shared = spark.createDataFrame(rows, "SourceObjectId int, UpdatedAt timestamp_ntz")
     own = {i: shared.where(F.col("SourceObjectId") == i) for i in (1, 2, 3, 4)}
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(joins, "at_most", lambda df, rows: small)
-        patch.setattr(joins, "HOT_SHARE", 2)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    if not small:
+        spark.conf.set(threshold, "-1")
+    try:
         for operator in (
             w.current_high_watermark,
             w.source_stats,
@@ -158,6 +159,8 @@ def test_shared_rows_give_the_same_as_tables_of_their_own(spark, small, rows, ma
         ):
             got = sorted(map(str, operator(shared, reg).collect()))
             assert got == sorted(map(str, operator(own, reg).collect()))
+    finally:
+        spark.conf.unset(threshold)
 
 
 def test_no_sources_at_all(spark):

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 # rows (an id and a RunId: some 20 MB).
 BROADCAST_ROWS = 200_000
 
-# A key is hot when it owns more than one in this many rows. There can be no
-# more hot keys than this.
-HOT_SHARE = 10_000
+# Places that the rows of one key are dealt to; each row of the side goes to all.
+SALTS = 16
 
 
 def at_most(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -24,28 +23,18 @@ def join_side(
     side: DataFrame,
     key: str,
     how: str = "inner",
-    bound: int = BROADCAST_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Join (`inner` or `left_semi`) rows to a side with one row per key.
+    """Join (`inner` or `left_semi`) rows to a side with one row per key, in one pass.
 
-    A side within the bound is broadcast and no row is shuffled. Beyond it, the
-    rows of hot keys meet a broadcast of just those keys, and only the others
-    are shuffled. The engine's own skew join would not do: it stands back when
-    an aggregation by the same key follows.
+    Nothing is counted beforehand and the rows are read once. A side that the engine
+    sees to be small is broadcast, and no row is shuffled. Otherwise the rows of a key
+    are dealt to `salts` tasks in turn, and the side, which is narrow, is sent to all of
+    them: a key with a third of all rows gives a task one part in `3 * salts`. The rows
+    should come from storage, as their turn is their place in it. NULL keys match nothing.
     """
-    if at_most(side, bound):
-        return rows.join(F.broadcast(side), key, how)
-    hot = hot_keys(rows, key)
-    if not hot:
-        return rows.join(side, key, how)
-    is_hot = F.col(key).isin(hot)
-    spread = rows.where(is_hot).join(F.broadcast(side.where(is_hot)), key, how)
-    # NULL keys are in neither part; they match nothing.
-    return spread.unionByName(rows.where(~is_hot).join(side.where(~is_hot), key, how))
-
-
-def hot_keys(rows: DataFrame, key: str) -> list:
-    """Keys with more than their share of rows, fewer than HOT_SHARE of them."""
-    least = rows.count() / HOT_SHARE
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).count()
-    return [row[0] for row in counts.where(F.col("count") > least).collect()]
+    salt = "_salt"
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    dealt = rows.where(F.col(key).isNotNull()).withColumn(salt, turn)
+    return dealt.join(side.withColumn(salt, everywhere), [key, salt], how).drop(salt)

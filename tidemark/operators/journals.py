@@ -7,7 +7,7 @@ mark; these functions give the current state.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import ntz
@@ -111,6 +111,26 @@ def _traced(history: DataFrame) -> DataFrame:
     return history.select("RunId").where(F.col("RunId").isNotNull()).distinct()
 
 
+# --- Attempts: runs that repeat each other --------------------------------------
+
+_ATTEMPT = "-attempt-"
+
+
+def attempt_id(name: str, number: int) -> str:
+    """The run id of an attempt at a batch."""
+    return f"{name}{_ATTEMPT}{number}"
+
+
+def batch_of(run_id: Column) -> Column:
+    """The batch of an attempt, which names its folder; of other runs the run id."""
+    return F.regexp_replace(run_id, f"{_ATTEMPT}[0-9]+$", "")
+
+
+def attempts(runs: DataFrame, name: str) -> list[Row]:
+    """The runs of all attempts at one batch: as many as there were failures, and one."""
+    return runs.where(F.col("RunId").startswith(name + _ATTEMPT)).collect()
+
+
 # --- State changes of runs, for one run or for any number ---------------------
 
 

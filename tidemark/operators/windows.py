@@ -27,9 +27,6 @@ from tidemark.operators.joins import join_side
 
 Sources = Mapping[int, DataFrame] | DataFrame
 
-# Marks are two numbers per source, so more of them may be broadcast.
-BROADCAST_MARKS = 2_000_000
-
 
 @dataclass(frozen=True)
 class Mark:
@@ -95,10 +92,7 @@ def _tag_shared(
     first_pending = to_millis("LastWatermarkValue") + F.expr("INTERVAL '0.001' SECOND")
     marks = registry.select("SourceObjectId", first_pending.alias("FirstPending"))
     tagged = join_side(
-        rows.select("SourceObjectId", "UpdatedAt"),
-        marks,
-        "SourceObjectId",
-        bound=BROADCAST_MARKS,
+        rows.select("SourceObjectId", "UpdatedAt"), marks, "SourceObjectId"
     ).select(
         "SourceObjectId",
         "UpdatedAt",
@@ -115,8 +109,13 @@ def _high() -> Column:
 def current_high_watermark(sources: Sources, registry: DataFrame) -> DataFrame:
     """Highest mark in each source: (SourceObjectId, CurrentHighWatermarkValue).
 
-    An empty source has no row.
+    An empty source has no row. Sources that share a frame are reduced first, and only
+    then is the registry asked which of them it knows.
     """
+    if isinstance(sources, DataFrame):
+        known = registry.select("SourceObjectId")
+        highs = sources.groupBy("SourceObjectId").agg(_high())
+        return highs.join(known, "SourceObjectId", "left_semi")
     return tag(sources, registry).groupBy("SourceObjectId").agg(_high())
 
 

@@ -285,41 +285,107 @@ def source_config(
     )
 
 
-def operational_summary(
-    registry: DataFrame, runs: DataFrame, history: DataFrame, sources: Sources
-) -> DataFrame:
-    """One line per SQL source across all checks.
-
-    Every source is read once: the pass that finds the high mark also counts
-    the pending rows. Empty_Run_Status is NULL for a source without rows.
-    """
+def run_facts(runs: DataFrame) -> DataFrame:
+    """Counts, times and the latest failed run of every source, in one aggregation."""
 
     def runs_in(status: str) -> Column:
         return F.count_if(F.col("Status") == status)
 
-    per_source = runs.groupBy("SourceObjectId").agg(
+    failed = F.when(F.col("Status") == m.FAILED, F.struct("StartedAt", "RunId"))
+    return runs.groupBy("SourceObjectId").agg(
         runs_in(m.SUCCEEDED).alias("Succeeded_Run_Count"),
         runs_in(m.FAILED).alias("Failed_Run_Count"),
         runs_in(m.RUNNING).alias("Running_Run_Count"),
         F.max("StartedAt").alias("Last_Run_StartedAt"),
         F.max("EndedAt").alias("Last_Run_EndedAt"),
+        F.max_by("RunId", failed).alias("FailedRunId"),
+    )
+
+
+def source_facts(registry: DataFrame, runs: DataFrame, history: DataFrame) -> DataFrame:
+    """The registry with what both journals say of each source, each read once.
+
+    A run's entries in the history count for the source that the history names and, if
+    the run is a source's latest failed one, as that source's traces. So the history,
+    reduced per run and source, meets the latest failed runs once, and what
+    comes of it is summed per source. Sources that have no failed run get a key of their
+    own there, so that they aren't gathered.
+    """
+    known = registry.join(run_facts(runs), "SourceObjectId", "left")
+    own_key = F.concat(F.lit("no run of "), F.col("SourceObjectId").cast("string"))
+    facts = known.select(
+        F.coalesce("FailedRunId", own_key).alias("RunKey"),
+        F.struct(*known.columns).alias("Facts"),
+    )
+    per_run = history.groupBy("RunId", "SourceObjectId").agg(
+        F.count("WatermarkHistoryId").alias("Ids"),
+        F.count(F.lit(1)).alias("Rows"),
+        F.max("NewWatermarkValue").alias("Mark"),
+        F.max("AppliedAt").alias("At"),
+    )
+    both = per_run.join(facts, F.col("RunId") == F.col("RunKey"), "full")
+
+    def part(source: Column, **values: Column) -> Column:
+        kinds = {"Facts": facts.schema["Facts"].dataType, "Ids": "bigint", "Rows": "bigint",
+                 "Mark": "timestamp_ntz", "At": "timestamp_ntz"}
+        nothing = F.lit(None)
+        return F.struct(
+            source.cast("bigint").alias("Id"),
+            *(values.get(n, nothing).cast(kind).alias(n) for n, kind in kinds.items()),
+        )
+
+    totals = part(F.col("SourceObjectId"), Ids=F.col("Ids"), Mark=F.col("Mark"), At=F.col("At"))
+    traces = part(F.col("Facts.SourceObjectId"), Facts=F.col("Facts"), Rows=F.col("Rows"))
+    summed = (
+        both.select(F.explode(F.array(totals, traces)).alias("part"))
+        .select("part.*")
+        .where(F.col("Id").isNotNull())
+        .groupBy("Id")
+        .agg(
+            F.first("Facts", ignorenulls=True).alias("Facts"),
+            F.sum("Ids").alias("WatermarkHistory_Count"),
+            F.max("Mark").alias("Last_History_Watermark"),
+            F.max("At").alias("Last_AppliedAt"),
+            F.sum("Rows").alias("History_Rows"),
+        )
+        .where(F.col("Facts").isNotNull())
     )
-    counts = [
-        "Succeeded_Run_Count",
-        "Failed_Run_Count",
-        "Running_Run_Count",
+    return summed.select(
+        "Facts.*",
         "WatermarkHistory_Count",
-    ]
+        "Last_History_Watermark",
+        "Last_AppliedAt",
+        "History_Rows",
+    ).fillna(
+        0,
+        [
+            "Succeeded_Run_Count",
+            "Failed_Run_Count",
+            "Running_Run_Count",
+            "WatermarkHistory_Count",
+            "History_Rows",
+        ],
+    )
+
+
+def operational_summary(
+    registry: DataFrame, runs: DataFrame, history: DataFrame, sources: Sources
+) -> DataFrame:
+    """One line per SQL source across all checks.
+
+    Every source is read once: the pass that finds the high mark also counts
+    the pending rows; and so is each journal. Empty_Run_Status is NULL for a source
+    without rows.
+    """
+    sql = sql_sources(registry)
     return (
-        failed_run_traces(registry, runs, history)
-        .join(source_stats(sources, sql_sources(registry)), "SourceObjectId", "left")
-        .join(per_source, "SourceObjectId", "left")
-        .join(history_per_source(history), "SourceObjectId", "left")
+        source_facts(sql, runs, history)
+        .join(source_stats(sources, sql), "SourceObjectId", "left")
         .withColumn(
             "Empty_Run_Status",
             F.when(F.col("Eligible_Row_Count").isNotNull(), empty_run_status()),
         )
-        .fillna(0, [*counts, "Eligible_Row_Count"])
+        .fillna(0, ["Eligible_Row_Count"])
         .orderBy(*BY_NAME)
         .select(
             "SourceObjectName",
@@ -327,7 +393,9 @@ def operational_summary(
             "CurrentHighWatermarkValue",
             "Eligible_Row_Count",
             "Empty_Run_Status",
-            *counts[:3],
+            "Succeeded_Run_Count",
+            "Failed_Run_Count",
+            "Running_Run_Count",
             "Last_Run_StartedAt",
             "Last_Run_EndedAt",
             "WatermarkHistory_Count",

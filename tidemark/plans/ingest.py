@@ -79,6 +79,7 @@ class Ingestion:
         no longer active by then has no run and no outcome.
         """
         batch = str(uuid.uuid4())
+        self.store.save_snapshot()
         listed = active_sources(self.store.registry()).select("SourceObjectId")
         outcomes, waiting = [], deque()
         with ThreadPoolExecutor(max_workers=workers) as pool:
@@ -91,11 +92,10 @@ class Ingestion:
 
     def _run_listed(self, source_id: int, batch: str) -> Outcome | None:
         try:
-            found = active_sources(self.store.registry()).where(
-                F.col("SourceObjectId") == source_id
-            )
-            source = found.first()
-            return self.run_source(source, batch) if source is not None else None
+            source = self.store.source_row(source_id)
+            if source is None or not source.IsActive:
+                return None
+            return self.run_source(source, batch)
         except Exception as error:  # not even the journal could be written
             return Outcome(None, source_id, FAILED, error=str(error))
 
@@ -157,6 +157,15 @@ class RunLog:
         self.run_id = run_id or str(uuid.uuid4())
         self.pipeline_run_id = pipeline_run_id
 
+    @classmethod
+    def of(cls, store: ControlStore, source: Row, run: Row, clock: Clock) -> RunLog:
+        """The log of a run that is in the journal as running."""
+        log = cls(store, source, run.PipelineRunId, clock, run.RunId)
+        row = {**run.asDict(), "Seq": 1}
+        values = tuple(row.get(name) for name in RUN_JOURNAL.names)
+        log.running = store.spark.createDataFrame([values], RUN_JOURNAL).coalesce(1)
+        return log
+
     def start(self, old: datetime | None, high: datetime | None) -> None:
         row = {
             "RunId": self.run_id,
@@ -213,4 +222,4 @@ class RunLog:
             "NewWatermarkValue": new_mark,
             "AppliedAt": now,
         }
-        self.store.append_rows("watermark_history", [row], self.run_id)
+        self.store.advance(row)

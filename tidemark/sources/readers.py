@@ -14,7 +14,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamReader
 
 from tidemark.model import CORRUPT_RECORD, CSV_FILE, JSON_FILE, SQL_TABLE
 
@@ -93,13 +92,17 @@ def with_reject(spec: FileSpec) -> T.StructType:
     )
 
 
+def spans_lines(spec: FileSpec) -> bool:
+    """Whether a record of the file may have more than one line."""
+    return spec.source_type == JSON_FILE if spec.multi_line is None else spec.multi_line
+
+
 def file_options(spec: FileSpec) -> dict[str, str | bool]:
     """Options of a file reader, for batches and streams."""
-    many = spec.source_type == JSON_FILE if spec.multi_line is None else spec.multi_line
     common = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT_RECORD,
-        "multiLine": many,
+        "multiLine": spans_lines(spec),
     }
     if spec.source_type == CSV_FILE:
         # Header names are checked against the schema, and all columns are
@@ -117,9 +120,7 @@ def file_options(spec: FileSpec) -> dict[str, str | bool]:
     return {**common, **own, **spec.options}
 
 
-def load_file(
-    reader: DataFrameReader | DataStreamReader, spec: FileSpec
-) -> DataFrame:
+def load_file(reader: DataFrameReader, spec: FileSpec) -> DataFrame:
     return reader.csv(spec.path) if spec.source_type == CSV_FILE else reader.json(spec.path)
 
 
@@ -195,3 +196,61 @@ def jdbc_range_options(
         "upperBound": high,
         "numPartitions": str(partitions),
     }
+
+
+def jdbc_starts_options(
+    spec: TableSpec,
+    watermark_column: str,
+    key_column: str | None,
+    old: datetime,
+    high: datetime,
+    ranges: int,
+) -> dict[str, str]:
+    """Options to ask for the first row of each of `ranges` parts of a window that have
+    equally many rows: at most `ranges` rows back, whatever the table has.
+
+    Rows are ordered by mark, then by key. A bulk change that gives very many rows one
+    mark is cut by the key, and a gap in either costs nothing.
+    """
+    options = jdbc_options(spec)
+    table = options.pop("dbtable")
+    mark = qualified(watermark_column)
+    key = qualified(key_column) if key_column else None
+    order = ", ".join(filter(None, (mark, key)))
+    columns = f"{mark} AS Mark" + (f", {key} AS RowKey" if key else "")
+    low, top = (m.isoformat(sep=" ", timespec="milliseconds") for m in (old, high))
+    options["query"] = (
+        f"SELECT Mark{', RowKey' if key else ''} FROM (SELECT {columns}, "
+        f"ROW_NUMBER() OVER (ORDER BY {order}) AS Place, COUNT(*) OVER () AS Total "
+        f"FROM {table} WHERE {mark} > '{low}' AND {mark} <= '{top}') ranked "
+        f"WHERE (Place - 1) % FLOOR((Total + {ranges - 1}) / {ranges}) = 0"
+    )
+    return options
+
+
+def jdbc_predicates(
+    watermark_column: str, key_column: str | None, starts: list[tuple]
+) -> list[str]:
+    """Conditions that put every row with a mark into just one range.
+
+    starts: (mark,) or (mark, key) of the first row of each range. The first range takes
+    all that is below the second, so starts need not be exact.
+    """
+    mark = qualified(watermark_column)
+    key = qualified(key_column) if key_column else None
+
+    def below(start: tuple) -> str:
+        at = f"'{start[0].isoformat(sep=' ', timespec='microseconds')}'"
+        if key is None:
+            return f"{mark} < {at}"
+        return f"({mark} < {at} OR ({mark} = {at} AND {key} < {int(start[1])}))"
+
+    cuts = [below(start) for start in sorted(set(starts))[1:]]
+    if not cuts:
+        return [f"{mark} IS NOT NULL"]
+    inner = [f"NOT {_whole(a)} AND {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [cuts[0], *inner, f"NOT {_whole(cuts[-1])}"]
+
+
+def _whole(condition: str) -> str:
+    return condition if condition.startswith("(") else f"({condition})"

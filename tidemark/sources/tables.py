@@ -18,7 +18,9 @@ from tidemark.sources.readers import (
     TableSpec,
     jdbc_bounds_options,
     jdbc_options,
+    jdbc_predicates,
     jdbc_range_options,
+    jdbc_starts_options,
 )
 
 
@@ -52,11 +54,12 @@ class FrameTables:
 class JdbcTables:
     """Tables of one database, read in parallel ranges.
 
-    The database takes the extremes itself. Ranges are cut on the mark column,
-    from the lowest mark present: from the sentinel on, all rows of an initial
-    load would fall into the last range and so into one task. Rows changed in
-    bulk share one mark, which no range can split; for tables where that
-    happens, `keys` names a whole-number key column to cut on instead.
+    The database takes the extremes itself. With `equal_counts` it also says where ranges
+    of equally many rows start, in the order of mark and key, which costs it a sort of the
+    window; `keys` names whole-number key columns, by which rows of one mark are told
+    apart. Without, ranges are equally wide: of the key if there is one, else of the mark,
+    from the lowest one present, as from the sentinel on all rows of an initial load would
+    fall into the last range. A burst of changes falls into few of those.
     """
 
     def __init__(
@@ -66,8 +69,10 @@ class JdbcTables:
         partitions: int,
         options: Mapping[str, str] | None = None,
         keys: Mapping[str, str] | None = None,
+        equal_counts: bool = True,
     ):
         self.spark = spark
+        self.equal_counts = equal_counts
         self.partitions = partitions
         self.keys = keys or {}
         self.base = TableSpec("", "", jdbc_url=url, options=options or {})
@@ -93,18 +98,36 @@ class JdbcTables:
         )
 
     def window(self, source: Row, old: datetime | None, bounds: Bounds) -> DataFrame:
-        return incremental_window(
-            self._read(self.window_options(source, old, bounds)),
-            source.WatermarkColumn,
-            old,
-            bounds.high,
+        if self.equal_counts and self._has_rows(old, bounds):
+            rows = self._read_ranges(source, self.window_predicates(source, old, bounds))
+        else:
+            rows = self._read(self.window_options(source, old, bounds))
+        return incremental_window(rows, source.WatermarkColumn, old, bounds.high)
+
+    @staticmethod
+    def _has_rows(old: datetime | None, bounds: Bounds) -> bool:
+        return old is not None and bounds.high is not None and bounds.high > old
+
+    def window_predicates(self, source: Row, old: datetime, bounds: Bounds) -> list[str]:
+        """Ranges of equally many rows of the window; one row each comes to the driver."""
+        key = self.keys.get(source.SourceObjectName)
+        high = floor_millis(bounds.high) + MILLISECOND
+        options = jdbc_starts_options(
+            self.spec(source), source.WatermarkColumn, key, old, high, self.partitions
         )
+        starts = [tuple(row) for row in self._read(options).collect()]
+        return jdbc_predicates(source.WatermarkColumn, key, starts)
+
+    def _read_ranges(self, source: Row, predicates: list[str]) -> DataFrame:
+        options = jdbc_options(self.spec(source))
+        url, table = options.pop("url"), options.pop("dbtable")
+        return self.spark.read.jdbc(url, table, predicates=predicates, properties=options)
 
     def window_options(
         self, source: Row, old: datetime | None, bounds: Bounds
     ) -> dict[str, str]:
         spec = self.spec(source)
-        if old is None or bounds.high is None or bounds.high <= old:
+        if not self._has_rows(old, bounds):
             return jdbc_options(spec)  # the window is empty; no ranges to cut
         key = self.keys.get(source.SourceObjectName)
         if key is not None and bounds.low_key is not None:

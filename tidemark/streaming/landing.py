@@ -1,33 +1,39 @@
-"""New landing files as a stream: each batch is one run, replays included.
+"""New landing files as a stream: each attempt at a batch is a run.
 
-A batch that fails is replayed by the engine with the same id and the same
-files, and writes the same run folder and journal entries again.
+A batch that fails is replayed by the engine with the same id and the same files. Each
+attempt has a run id of its own, made of the query's persistent id, the batch and a count,
+and so a row of its own in the run log. The batch has one folder, which the attempts
+overwrite in turn until one has succeeded; from then on the batch is done, and a replay
+copies nothing. Readers take a folder when an attempt at it has succeeded.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
+from tidemark.model import RUNNING, SUCCEEDED
 from tidemark.operators.copies import Counts, copy_frame, run_folder
+from tidemark.operators.journals import attempt_id, attempts
 from tidemark.operators.store import ControlStore
 from tidemark.plans.ingest import Clock, RunLog, utc_now
-from tidemark.sources.readers import (
-    FileSpec,
-    file_options,
-    load_file,
-    with_reject,
-)
+from tidemark.sources.raw import raw_text
+from tidemark.sources.readers import FileSpec
 from tidemark.sources.zones import zone
 
 
 def landing_stream(spark: SparkSession, spec: FileSpec) -> DataFrame:
-    """Files as they arrive; misfits keep their raw text.
+    """The text of files as they arrive.
 
     A large backlog is cut into batches with `maxFilesPerTrigger` in the spec's
     options.
     """
-    reader = spark.readStream.schema(with_reject(spec)).options(**file_options(spec))
-    return load_file(reader, spec)
+    return raw_text(spark.readStream, spec)
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint: its own for each new checkpoint, the
+    same after each restart."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
 def ingest_new_files(
@@ -39,28 +45,35 @@ def ingest_new_files(
 ) -> dict[str, Counts]:
     """Copy all files that arrived since the last call; counts per run.
 
-    The checkpoint belongs to the source: with a new one, batch ids start over
-    and run folders would be written again. A call that finds nothing new is
-    logged as a run without rows.
+    A call that finds nothing new is logged as a run without rows.
     """
     done: dict[str, Counts] = {}
 
     def copy_batch(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"source-{source.SourceObjectId}-batch-{batch_id}"
+        name = f"{query_id(store.spark, checkpoint)}-{batch_id}"
+        earlier = attempts(store.runs(), name)
+        for row in earlier:
+            if row.Status == SUCCEEDED:  # the stream stopped before it noted that
+                done[row.RunId] = Counts(row.RowsRead, row.RowsCopied)
+                return
+        run_id = attempt_id(name, len(earlier) + 1)
+        for row in earlier:
+            if row.Status == RUNNING:  # its driver was lost
+                RunLog.of(store, source, row, clock).fail(
+                    RuntimeError(f"abandoned; taken up by {run_id}")
+                )
         run = RunLog(store, source, None, clock, run_id)
         run.start(None, None)
         try:
             counts = copy_frame(
                 batch,
-                spec.source_type,
+                spec,
                 run_folder(
                     zone(store.base, source.DestinationContainer),
                     source.DestinationFolder,
-                    run_id,
-                ),
-                run_folder(
-                    zone(store.base, "rejected"), source.DestinationFolder, run_id
+                    name,
                 ),
+                run_folder(zone(store.base, "rejected"), source.DestinationFolder, name),
             )
         except Exception as error:
             run.fail(error)

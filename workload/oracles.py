@@ -230,16 +230,23 @@ ORACLES: dict[str, str] = {
                o_orderdate AS UpdatedAt, o_orderpriority
         FROM orders WHERE o_orderdate > TIMESTAMP '2001-01-01 00:00:00'""",
     "copy_csv_to_bronze": """
-        SELECT CAST(c_custkey AS VARCHAR) AS CountryCode, c_name AS CountryName,
-               c_mktsegment AS CurrencyCode, 'Nation, ' || c_nationkey AS CurrencyName,
-               CASE WHEN c_acctbal >= 0 THEN 1 ELSE 0 END AS IsActive
-        FROM customer""",
-    "copy_json_to_bronze": ADJUSTMENTS,
+        SELECT strftime(o_orderdate, '%Y-%m-%d') || ',' || o_orderstatus || ','
+               || o_orderpriority || ','
+               || CASE WHEN o_orderkey % 3 = 0 THEN '5' ELSE '17.0500' || o_orderkey % 10 END
+               || ',"ref ""' || o_orderkey || '"",' || chr(10) || 'files"' AS Record
+        FROM orders""",
+    "copy_json_to_bronze": """
+        SELECT '{"created_at": "' || strftime(o_orderdate, '%Y-%m-%d')
+               || 'T00:00:00.000Z", "adjustment_batch_id":"BATCH-' || o_orderkey
+               || '", "operator": {"id": ' || o_orderkey || '.50, "note": null}'
+               || CASE WHEN o_orderstatus = 'F' THEN ', "source_system_name": null' ELSE '' END
+               || ', "adjustments": [ ]}' AS Record
+        FROM orders""",
     "reject_split": """
         WITH lines AS (
           SELECT o_orderstatus, o_orderkey, o_orderpriority,
                  strftime(o_orderdate, '%Y-%m-%d') AS day,
-                 CAST(CAST(o_totalprice AS DECIMAL(18,4)) AS VARCHAR) AS price,
+                 CAST(CAST(o_totalprice AS DECIMAL(18,4)) AS VARCHAR) || '06' AS price,
                  o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AS short
           FROM orders)
         SELECT CASE WHEN o_orderstatus = 'P' OR short THEN 'rejected' ELSE 'bronze' END
@@ -458,22 +465,36 @@ ORACLES: dict[str, str] = {
         WHERE Eligible_Row_Count > 0""",
     # --- Scenarios
     "scenario_insert": """
-        SELECT o_orderkey, o_totalprice, o_orderdate AS UpdatedAt
-        FROM orders WHERE o_orderdate > TIMESTAMP '2001-01-01 00:00:00'""",
+        WITH marks AS (
+          SELECT max(o_orderdate) FILTER (o_orderdate <= TIMESTAMP '2001-01-01 00:00:00')
+                   AS old, max(o_orderdate) AS new,
+                 count(*) FILTER (o_orderdate > TIMESTAMP '2001-01-01 00:00:00') AS n
+          FROM orders)
+        SELECT o_orderkey, o_totalprice, o_orderdate AS UpdatedAt,
+               old AS OldWatermarkValue, new AS NewWatermarkValue, n AS RowsCopied
+        FROM orders, marks WHERE o_orderdate > old""",
     "scenario_update": """
+        WITH marks AS (
+          SELECT max(o_orderdate) AS old,
+                 count(*) FILTER (o_orderstatus = 'O' AND o_orderpriority = '1-URGENT') AS n
+          FROM orders)
         SELECT o_orderkey, o_totalprice + 1 AS o_totalprice,
-               TIMESTAMP '2001-08-02 00:00:00' AS UpdatedAt
-        FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'""",
+               TIMESTAMP '2001-08-02 00:00:00' AS UpdatedAt, old AS OldWatermarkValue,
+               TIMESTAMP '2001-08-02 00:00:00' AS NewWatermarkValue, n AS RowsCopied
+        FROM orders, marks
+        WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'""",
     "scenario_refund": """
-        SELECT 'Orders' AS SourceObjectName,
-               TIMESTAMP '2001-08-01 00:00:00' AS OldWatermarkValue,
-               count(*) AS RowsCopied, count(*) AS RowsRefunded,
-               TIMESTAMP '2024-02-01 00:00:00' AS NewWatermarkValue
-        FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'
-        UNION ALL
-        SELECT 'Payments', TIMESTAMP '2024-01-31 00:00:00', count(*), count(*),
-               TIMESTAMP '2024-02-01 00:00:00'
-        FROM events WHERE event_type = 'purchase' AND value >= 100""",
+        WITH refunds AS (
+          SELECT 'Orders' AS SourceObjectName, max(o_orderdate) AS OldWatermarkValue,
+                 count(*) FILTER (o_orderstatus = 'P' AND o_orderpriority = '5-LOW') AS n
+          FROM orders
+          UNION ALL
+          SELECT 'Payments', max(date_trunc('millisecond', ts)), count(*) FILTER (value >= 100)
+          FROM events WHERE event_type = 'purchase')
+        SELECT SourceObjectName, OldWatermarkValue,
+               TIMESTAMP '2024-02-01 00:00:00' AS NewWatermarkValue, n AS RowsCopied,
+               n AS RowsInBronze, n AS RowsRefunded
+        FROM refunds""",
     "scenario_empty": f"""
         SELECT 'Orders' AS SourceObjectName, max(o_orderdate) AS LastWatermarkValue,
                max(o_orderdate) AS CurrentHighWatermarkValue,

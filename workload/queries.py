@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,8 @@ from tidemark.operators import registry as r
 from tidemark.operators import windows as w
 from tidemark.operators.copies import copy_file, copy_window, run_folder
 from tidemark.plans import checks as c
-from tidemark.sources.readers import (
-    FileSpec,
-    flag_columns,
-    read_source,
-)
+from tidemark.sources.raw import RECORD, read_raw
+from tidemark.sources.readers import FileSpec, flag_columns, read_source
 from tidemark.sources.zones import scratch
 from workload import scenarios
 from workload import tables as t
@@ -109,28 +107,22 @@ def copy_sql_window(spark, sf_dir):
 
 
 def _copied(spark: SparkSession, spec: FileSpec, folder: str) -> DataFrame:
+    """The records of the copy, as they lie in bronze."""
     base = scratch(spark)
     path = run_folder(f"{base}/bronze", folder, "1")
     copy_file(spark, spec, path, run_folder(f"{base}/rejected", folder, "1"))
-    # Both formats are written one record per line.
-    return read_source(
-        spark, FileSpec(spec.source_type, path, spec.schema, multi_line=False)
-    )
+    return read_raw(spark, replace(spec, path=path)).select(RECORD)
 
 
 @query
 def copy_csv_to_bronze(spark, sf_dir):
-    return _copied(spark, t.country_file(spark, sf_dir), "files/csv/country_currency")
+    return _copied(spark, t.rate_records_file(spark, sf_dir), "files/csv/currency_rates")
 
 
 @query
 def copy_json_to_bronze(spark, sf_dir):
-    documents = _copied(
-        spark, t.adjustments_file(spark, sf_dir), "files/json/manual_adjustments"
-    )
-    return r.explode_adjustments(documents).withColumn(
-        "created_at", instant_to_ntz("created_at")
-    )
+    spec = t.adjustment_records_file(spark, sf_dir)
+    return _copied(spark, spec, "files/json/manual_adjustments")
 
 
 @query
@@ -140,12 +132,8 @@ def reject_split(spark, sf_dir):
     good = run_folder(f"{base}/bronze", "files/csv/currency_rates", "1")
     bad = run_folder(f"{base}/rejected", "files/csv/currency_rates", "1")
     counts = copy_file(spark, spec, good, bad)
-    bronze = read_source(spark, FileSpec(m.CSV_FILE, good, spec.schema))
-    kept = bronze.select(
-        F.lit("bronze").alias("Zone"),
-        F.concat_ws(",", *[F.col(f.name).cast("string") for f in spec.schema]).alias(
-            "Record"
-        ),
+    kept = read_raw(spark, replace(spec, path=good)).select(
+        F.lit("bronze").alias("Zone"), RECORD
     )
     if not counts.rejected:
         return kept
@@ -153,9 +141,7 @@ def reject_split(spark, sf_dir):
         bad, columnNameOfCorruptRecord="_unused"
     )
     return kept.unionByName(
-        rejected.select(
-            F.lit("rejected").alias("Zone"), F.col(m.CORRUPT_RECORD).alias("Record")
-        )
+        rejected.select(F.lit("rejected").alias("Zone"), F.col(m.CORRUPT_RECORD).alias(RECORD))
     )
 
 

@@ -8,53 +8,82 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import ntz
-from tidemark.operators.journals import watermark_state
+from tidemark.model import SENTINEL
+from tidemark.operators.copies import succeeded_only
 from tidemark.operators.registry import (
     prepare_failure,
     require_source,
     restore_config,
 )
 from tidemark.operators.store import ControlStore
-from tidemark.operators.windows import (
-    current_high_watermark,
-    high_mark,
-    incremental_window,
-    marks_of,
-    next_mark,
-    union_all,
-)
+from tidemark.operators.windows import high_mark, union_all
 from tidemark.plans.checks import eligibility
 from tidemark.plans.ingest import Ingestion
 from tidemark.sources.tables import FrameTables
-from tidemark.sources.zones import scratch
+from tidemark.sources.zones import scratch, zone
 from workload import tables as t
 
 OLD = datetime(2001, 1, 1)
-LOADED = datetime(2001, 8, 1)
 UPDATED = datetime(2001, 8, 2)
 REFUNDED = datetime(2024, 2, 1)
 
 
-def _window(df: DataFrame, old: datetime) -> DataFrame:
-    return incremental_window(df, "UpdatedAt", old, high_mark(df, "UpdatedAt", old))
+def _loaded(
+    spark: SparkSession, tables: dict[int, DataFrame]
+) -> tuple[ControlStore, Ingestion]:
+    """A store whose sources have had their initial load. `tables` may change then."""
+    store = ControlStore(spark, scratch(spark)).create()
+    store.save_registry(t.registry(spark, dict.fromkeys(tables, SENTINEL)), 1)
+    ingestion = Ingestion(
+        store, FrameTables(lambda row: tables[row.SourceObjectId]), _no_file, _Steps()
+    )
+    ingestion.run_active()
+    return store, ingestion
+
+
+def _no_file(row: Row):
+    raise ValueError(f"{row.SourceObjectName} is not a file")
+
+
+def _copied(store: ControlStore, source_id: int, run_id: str) -> DataFrame:
+    """The bronze rows of a run, with its counts and marks as the journals have them."""
+    source = store.source_row(source_id)
+    folder = f"{zone(store.base, source.DestinationContainer)}/{source.DestinationFolder}"
+    bronze = succeeded_only(store.spark.read.parquet(folder), store.runs(), source_id)
+    run = store.runs().where(F.col("RunId") == run_id).select(
+        F.col("RunId").alias("run_id"), "OldWatermarkValue", "RowsCopied"
+    )
+    advance = store.history().where(F.col("RunId") == run_id).select(
+        F.col("RunId").alias("run_id"), "NewWatermarkValue"
+    )
+    # One row each: a run has one row in the folded log, and advances its mark once.
+    return bronze.join(F.broadcast(run), "run_id").join(F.broadcast(advance), "run_id")
+
+
+MARKS = ("OldWatermarkValue", "NewWatermarkValue", "RowsCopied")
 
 
 def insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New orders arrive on top of those already loaded."""
+    """Orders are loaded; new ones arrive; the second run copies those alone."""
     orders = t.orders(spark, sf_dir)
-    base = orders.where(F.col("UpdatedAt") <= ntz(OLD))
-    inserted = orders.where(F.col("UpdatedAt") > ntz(OLD))
-    return _window(base.unionByName(inserted), OLD).select(
-        "o_orderkey", "o_totalprice", "UpdatedAt"
+    tables = {t.ORDERS: orders.where(F.col("UpdatedAt") <= ntz(OLD))}
+    store, ingestion = _loaded(spark, tables)
+    tables[t.ORDERS] = orders
+    (second,) = ingestion.run_active()
+    return _copied(store, t.ORDERS, second.run_id).select(
+        "o_orderkey", "o_totalprice", "UpdatedAt", *MARKS
     )
 
 
 def update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Urgent open orders change price."""
+    """Orders are loaded; urgent open ones change price; the second run copies those."""
     changed = (F.col("o_orderstatus") == "O") & (
         F.col("o_orderpriority") == "1-URGENT"
     )
-    orders = t.orders(spark, sf_dir).withColumns(
+    orders = t.orders(spark, sf_dir)
+    tables = {t.ORDERS: orders}
+    store, ingestion = _loaded(spark, tables)
+    tables[t.ORDERS] = orders.withColumns(
         {
             "o_totalprice": F.when(changed, F.col("o_totalprice") + 1).otherwise(
                 F.col("o_totalprice")
@@ -62,82 +91,53 @@ def update(spark: SparkSession, sf_dir: str) -> DataFrame:
             "UpdatedAt": F.when(changed, ntz(UPDATED)).otherwise(F.col("UpdatedAt")),
         }
     )
-    return _window(orders, LOADED).select("o_orderkey", "o_totalprice", "UpdatedAt")
+    (second,) = ingestion.run_active()
+    return _copied(store, t.ORDERS, second.run_id).select(
+        "o_orderkey", "o_totalprice", "UpdatedAt", *MARKS
+    )
 
 
 def refund(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders and payments are refunded; both marks advance."""
+    """Orders and payments are loaded, then partly refunded; both marks advance."""
+    orders, payments = t.orders(spark, sf_dir), t.payments(spark, sf_dir)
+    tables = {t.ORDERS: orders, t.PAYMENTS: payments}
+    store, ingestion = _loaded(spark, tables)
     low = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
-    orders = t.orders(spark, sf_dir).withColumns(
+    tables[t.ORDERS] = orders.withColumns(
         {
             "o_orderstatus": F.when(low, "R").otherwise(F.col("o_orderstatus")),
             "UpdatedAt": F.when(low, ntz(REFUNDED)).otherwise(F.col("UpdatedAt")),
         }
     )
     large = F.col("value") >= 100
-    payments = t.payments(spark, sf_dir).withColumns(
+    tables[t.PAYMENTS] = payments.withColumns(
         {
             "value": F.when(large, -F.col("value")).otherwise(F.col("value")),
             "UpdatedAt": F.when(large, ntz(REFUNDED)).otherwise(F.col("UpdatedAt")),
         }
     )
+    second = {o.source_id: o.run_id for o in ingestion.run_active()}
     refunded = {
         t.ORDERS: F.col("o_orderstatus") == "R",
         t.PAYMENTS: F.col("value") < 0,
     }
-    sources = {t.ORDERS: orders, t.PAYMENTS: payments}
-    registry = t.registry(
-        spark, {t.ORDERS: LOADED, t.PAYMENTS: datetime(2024, 1, 31)}
-    )
-    # One captured high mark per source bounds its window and becomes its mark.
-    highs = dict(
-        current_high_watermark(sources, registry)
-        .select("SourceObjectId", "CurrentHighWatermarkValue")
-        .collect()
-    )
-    marks = marks_of(registry, sources)
-    windows = union_all(
+    return union_all(
         [
-            incremental_window(
-                sources[mark.source_id], mark.column, mark.value, highs[mark.source_id]
-            ).select(
-                F.lit(mark.source_id).alias("SourceObjectId"),
-                refunded[mark.source_id].alias("Refunded"),
+            _copied(store, source_id, run_id)
+            .groupBy(*MARKS)
+            .agg(
+                F.count(F.lit(1)).alias("RowsInBronze"),
+                F.count_if(refunded[source_id]).alias("RowsRefunded"),
+            )
+            .select(
+                F.lit(t.NAMES[source_id]).alias("SourceObjectName"),
+                *MARKS,
+                "RowsInBronze",
+                "RowsRefunded",
             )
-            for mark in marks
+            for source_id, run_id in second.items()
         ]
     )
-    advanced = F.lit(None).cast("timestamp_ntz")
-    for mark in marks:
-        new = next_mark(mark.value, highs[mark.source_id])
-        advanced = F.when(
-            F.col("SourceObjectId") == mark.source_id, ntz(new)
-        ).otherwise(advanced)
-    copied = windows.groupBy("SourceObjectId").agg(
-        F.count(F.lit(1)).alias("RowsCopied"),
-        F.count_if("Refunded").alias("RowsRefunded"),
-    )
-    applied = copied.select(
-        F.col("SourceObjectId").cast("bigint").alias("WatermarkHistoryId"),
-        "SourceObjectId",
-        F.lit("refund").alias("RunId"),
-        advanced.alias("NewWatermarkValue"),
-        ntz(t.NOW).alias("AppliedAt"),
-    )
-    after = watermark_state(registry, applied).select(
-        "SourceObjectId", F.col("LastWatermarkValue").alias("NewWatermarkValue")
-    )
-    return (
-        registry.join(copied, "SourceObjectId")
-        .join(after, "SourceObjectId")
-        .select(
-            "SourceObjectName",
-            F.col("LastWatermarkValue").alias("OldWatermarkValue"),
-            "RowsCopied",
-            "RowsRefunded",
-            "NewWatermarkValue",
-        )
-    )
 
 
 class _Steps:
@@ -169,10 +169,7 @@ def _orders_store(
     def open_table(row: Row) -> DataFrame:
         return t.orders(spark, sf_dir)
 
-    def open_file(row: Row):
-        raise ValueError(f"{row.SourceObjectName} is not a file")
-
-    return store, Ingestion(store, FrameTables(open_table), open_file, _Steps())
+    return store, Ingestion(store, FrameTables(open_table), _no_file, _Steps())
 
 
 def empty(spark: SparkSession, sf_dir: str) -> DataFrame:

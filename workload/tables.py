@@ -7,6 +7,7 @@ to them is only a handful of marks for tables that are read in full.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark import model as m
 from tidemark.functions import ntz, to_millis
-from tidemark.operators.copies import write_file
+from tidemark.operators.copies import write_file, write_records
 from tidemark.operators.registry import destination_folder
 from tidemark.sources.readers import FileSpec, TableSpec, read_source
 from tidemark.sources.zones import scratch
@@ -337,7 +338,7 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates as raw lines; partly filled orders lack a date, urgent
     filled ones three fields."""
     date = F.date_format("o_orderdate", "yyyy-MM-dd")
-    price = F.col("o_totalprice").cast("decimal(18,4)")
+    price = F.concat(F.col("o_totalprice").cast("decimal(18,4)"), F.lit("06"))
     short = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
     line = (
         F.when(
@@ -359,6 +360,38 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(line.alias("value"))
 
 
+def rate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates as raw records: more decimals than declared or none, and a quoted text with
+    quotes and a line break."""
+    key = F.col("o_orderkey")
+    rate = F.when(key % 3 == 0, "5").otherwise(F.concat(F.lit("17.0500"), key % 10))
+    source = F.concat(F.lit('"ref ""'), key, F.lit('"",\nfiles"'))
+    date = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return table(spark, sf_dir, "orders").select(
+        F.concat_ws(",", date, "o_orderstatus", "o_orderpriority", rate, source).alias("Record")
+    )
+
+
+def adjustment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as raw lines: with a field that no schema declares, numbers spelled in
+    their own way, and fields that are null or absent."""
+    key = F.col("o_orderkey")
+    absent = F.when(F.col("o_orderstatus") == "F", ', "source_system_name": null').otherwise("")
+    return table(spark, sf_dir, "orders").select(
+        F.concat(
+            F.lit('{"created_at": "'),
+            F.date_format("o_orderdate", "yyyy-MM-dd"),
+            F.lit('T00:00:00.000Z", "adjustment_batch_id":"BATCH-'),
+            key,
+            F.lit('", "operator": {"id": '),
+            key,
+            F.lit('.50, "note": null}'),
+            absent,
+            F.lit(', "adjustments": [ ]}'),
+        ).alias("Record")
+    )
+
+
 class Landing:
     """Landing files written once per session and scale."""
 
@@ -412,3 +445,21 @@ def damaged_file(spark: SparkSession, sf_dir: str) -> FileSpec:
 
     path = Landing.path(spark, sf_dir, "damaged_rates", write)
     return FileSpec(m.CSV_FILE, path, m.CURRENCY_RATES, header=False)
+
+
+def rate_records_file(spark: SparkSession, sf_dir: str) -> FileSpec:
+    spec = FileSpec(m.CSV_FILE, "", m.CURRENCY_RATES, multi_line=True)
+
+    def write(path: str) -> None:
+        write_records(rate_records(spark, sf_dir), spec, path)
+
+    return replace(spec, path=Landing.path(spark, sf_dir, "rate_records", write))
+
+
+def adjustment_records_file(spark: SparkSession, sf_dir: str) -> FileSpec:
+    spec = FileSpec(m.JSON_FILE, "", m.MANUAL_ADJUSTMENTS, multi_line=False)
+
+    def write(path: str) -> None:
+        write_records(adjustment_records(spark, sf_dir), spec, path)
+
+    return replace(spec, path=Landing.path(spark, sf_dir, "adjustment_records", write))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -188,3 +189,101 @@ def check_packing(docs, pieces, vocabulary, limit=4096):
         used += at
         padded += at if at & (at - 1) == 0 else limit
     return used, padded
+
+
+def audit(docs, labels):
+    """docs: (id, text, part); labels: (id, quality, toxic)."""
+    from itertools import permutations
+
+    facts = []
+    for key, text, part in docs:
+        t = text or ""
+        words = SPACE_WORD.findall(t)
+        smaller = [k for k, u, _ in docs if k is not None and (u or "") == t]
+        fails = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", t)) > 2 * len(t),
+            "D": bool(re.search(r"[#$%&*|]", t)),
+            "E": key is not None and any(k < key for k in smaller),
+        }
+        mine = [x for x in labels if key is not None and x[0] == key]
+        facts.append(
+            (part or "", {f for f, x in fails.items() if x}, any(x[1] == 1 for x in mine),
+             any(x[2] == 1 for x in mine))
+        )
+    removed, out = Counter(), {}
+    for part in {f[0] for f in facts}:
+        for order in map("".join, permutations("ABCDE")):
+            left = [f for f in facts if f[0] == part]
+            everything = left
+            for step, name in enumerate(order, 1):
+                gone = [f for f in left if name in f[1]]
+                left = [f for f in left if name not in f[1]]
+                failing = [f for f in everything if name in f[1]]
+                removed[part, name] += len(gone)
+                out[part, order, step] = [
+                    len(left), len(gone), len(failing) - len(gone),
+                    sum(f[1] == {name} for f in everything),
+                    sum(f[2] for f in gone), sum(f[3] for f in gone),
+                ]
+    return sorted((*k, *v, removed[k[0], k[1][k[2] - 1]]) for k, v in out.items())
+
+
+def prefix_nodes(turns, family=20, heads=4):
+    """turns: (conv, turn, role, text); the nodes as sorted tuples."""
+    own = defaultdict(list)
+    for conv, turn, role, text in turns:
+        if conv is not None:
+            digest = hashlib.md5((text or "").encode()).hexdigest()
+            own[conv].append((turn is not None, turn or 0, role or "", digest, text or ""))
+    own = {c: [(x[2], x[4]) for x in sorted(v)] for c, v in own.items()}
+    rebuilt = {}
+    for c, mine in own.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        base = c - int(math.fmod(c, family))
+        rebuilt[c] = own.get(base, [])[:h] + mine[h:]
+    members, children = defaultdict(list), defaultdict(set)
+    for c, path in rebuilt.items():
+        for d in range(len(path) + 1):
+            members[tuple(path[:d])].append(c)
+            if d:
+                children[tuple(path[: d - 1])].add(tuple(path[:d]))
+    saved, leaves = Counter(), Counter()
+    for node in members:
+        words = len(SPACE_WORD.findall(node[-1][1])) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += (len(members[node]) - 1) * words
+            leaves[node[:d]] += not children[node]
+    out = []
+    for node, who in members.items():
+        ends = ",".join(str(c) for c in sorted(who) if len(rebuilt[c]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        out.append((min(who), len(node), parent, len(who), len(children[node]), leaves[node],
+                    saved[node], sha(ends.encode())))
+    return sorted(out, key=str)
+
+
+_PII = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+
+
+def base_spans(text):
+    """By kind, the spans of the base patterns that their checks let pass."""
+
+    def good(kind, found):
+        digits = re.sub("[^0-9]", "", found)
+        if kind == "ip":
+            return all(int(x) <= 255 for x in found.split("."))
+        if kind == "phone":
+            return 9 <= len(digits) <= 15
+        if kind == "email":
+            return True
+        doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+        return 13 <= len(digits) <= 19 and sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+
+    return {k: [m.span() for m in p.finditer(text or "") if good(k, m[0])] for k, p in _PII.items()}

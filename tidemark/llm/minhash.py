@@ -10,13 +10,17 @@ once every place holds a value below k + 1 the later ranks can't matter and a do
 stops there. All elements of a batch go through a rank together.
 
 Texts with equal sets are one class from there on. Classes that share a band form a
-bucket. First each bucket links its members to its least one, checked on full sets.
-Where members are still in different components then, their pairs across components
-are compared by signature, in blocks of bounded size, and those whose estimate isn't
-below the threshold by more than `margin` (over five standard deviations) are checked
-on full sets too. So a large group of copies costs one check for each member, and no
-link between different texts is lost but for the banding: at 32 bands of 4 a pair at
-0.85 is missed once in 2e10, at 0.8 once in 2e7.
+bucket. First each bucket links its members to its least one, its leader, checked on full
+sets. Where the members that a leader has in all its buckets are still in different
+components then, they are compared across components by signature, in blocks of bounded
+size. Members that are near one of another component, with an estimate not below the
+threshold by more than `margin` (over five standard deviations), have their full sets
+compared, in blocks too; sets travel there as their difference to the leader's. A block
+puts out a forest of the links it finds, not the pairs, so a large group of copies,
+linked or just not, makes no more rows than it has members. No link between different
+texts is lost but for the banding: at 32 bands of 4 a pair at 0.85 is missed once in
+2e10, at 0.8 once in 2e7. The work within a group whose members are all near one another
+but not linked grows with its square, as each pair there has to be told from a link.
 
 Repeated rows are copies like others; rows that share a doc_id but not the text are
 texts of their own. A null doc_id can be the id of a component only if no other is in it.
@@ -28,7 +32,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components, stored
@@ -178,45 +182,142 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "one", "other").mapInArrow(run, "a binary, b binary")
 
 
-def _across(
-    members: DataFrame, percent: int, margin: float, block: int
-) -> DataFrame:
-    """Pairs of a bucket in different components whose sketches are alike.
-
-    members: band, node, component, sketch, size (of the bucket). A bucket over
-    `block` members is dealt to pairs of blocks, so no task gets it whole.
-    """
-    parts = F.ceil(F.col("size") / block).cast("int")
+def _dealt(members: DataFrame, parts: Column, keep: list[str]) -> DataFrame:
+    """Members of a leader by pairs of parts, so that any two meet, and no task gets a
+    group whole; `mine` is a member's own part."""
     mine = F.pmod(F.xxhash64("node"), parts).cast("int")
-    dealt = (
-        members.withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return (
+        members.withColumns({"mine": mine, "parts": parts})
+        .withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))))
         .select(
-            "band",
+            "leader",
             F.least("mine", "other").alias("low"),
             F.greatest("mine", "other").alias("high"),
-            "node",
-            "component",
-            "sketch",
+            "mine",
+            *keep,
         )
     )
-    least = percent / 100 - margin
+
+
+def _numbered(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Nodes, their components as numbers, and which pairs are this task's to judge."""
+    nodes = table.column("node").to_pylist()
+    known: dict[bytes, int] = {}
+    inside = np.array([known.setdefault(c, len(known)) for c in table.column("component").to_pylist()])
+    mine = table.column("mine").to_numpy()
+    if len(mine) and table.column("low")[0].as_py() != table.column("high")[0].as_py():
+        ours = mine[:, None] != mine[None, :]
+    else:
+        ours = np.ones((len(nodes), len(nodes)), bool)
+    return nodes, inside, ours
+
+
+def _alike(members: DataFrame, least: float, block: int) -> DataFrame:
+    """Of each leader, the members that are like one of another component by sketch: at
+    most one row a member and part, however many are alike."""
 
     def run(table: pa.Table) -> pa.Table:
-        nodes = table.column("node").to_pylist()
-        inside = np.array(table.column("component").to_pylist(), object)
+        nodes, inside, ours = _numbered(table)
         sketch = np.array([np.frombuffer(x, "<u2") for x in table.column("sketch").to_pylist()])
-        found_a, found_b = [], []
+        found = np.zeros(len(nodes), bool)
         for i in range(len(nodes) - 1):
-            share = (sketch[i + 1 :] == sketch[i]).mean(axis=1)
-            for k in np.flatnonzero((share >= least) & (inside[i + 1 :] != inside[i])):
-                found_a.append(min(nodes[i], nodes[i + 1 + k]))
-                found_b.append(max(nodes[i], nodes[i + 1 + k]))
-        return pa.table(
-            {"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())}
-        )
+            near = (sketch[i + 1 :] == sketch[i]).mean(axis=1) >= least
+            near &= (inside[i + 1 :] != inside[i]) & ours[i, i + 1 :]
+            found[i] |= near.any()
+            found[i + 1 :] |= near
+        return table.select(["leader", "node", "component"]).filter(pa.array(found))
+
+    dealt = _dealt(members, F.ceil(F.col("size") / block), ["node", "component", "sketch"])
+    return (
+        dealt.groupBy("leader", "low", "high")
+        .applyInArrow(run, "leader binary, node binary, component binary")
+        .distinct()
+    )
 
-    return dealt.groupBy("band", "low", "high").applyInArrow(run, "a binary, b binary").distinct()
+
+def _coded(found: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each member's set as the difference to its leader's, which near copies have little
+    of: bits of the leader's elements that are kept, and the other elements."""
+    joined = found.join(
+        sets.select(F.col("node").alias("leader"), F.col("shingles").alias("one")), "leader"
+    ).join(sets.select("node", F.col("shingles").alias("other")), "node")
+
+    def run(batches):
+        for batch in batches:
+            kept, extra, sizes = [], [], []
+            for one, other in zip(
+                batch.column("one").to_pylist(), batch.column("other").to_pylist(), strict=True
+            ):
+                x, y = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+                kept.append(np.packbits(np.isin(x, y, assume_unique=True)).tobytes())
+                extra.append(y[~np.isin(y, x, assume_unique=True)].tobytes())
+                sizes.append(len(y))
+            names = ["leader", "node", "component"]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c) for c in names),
+                    pa.array(kept, pa.binary()),
+                    pa.array(extra, pa.binary()),
+                    pa.array(sizes, pa.int64()),
+                ],
+                names=[*names, "kept", "extra", "n"],
+            )
+
+    return joined.mapInArrow(
+        run, "leader binary, node binary, component binary, kept binary, extra binary, n long"
+    )
+
+
+def common_sizes(kept: list[bytes], extra: list[bytes], width: int = 1 << 13) -> np.ndarray:
+    """The sizes of the intersections of all pairs of coded sets, by products of 0/1
+    matrices of at most `width` elements at a time."""
+    out = np.zeros((len(kept), len(kept)), np.float32)
+    bits = np.array([np.frombuffer(k, np.uint8) for k in kept])
+    for at in range(0, bits.shape[1], width // 8):
+        part = np.unpackbits(bits[:, at : at + width // 8], axis=1).astype(np.float32)
+        out += part @ part.T
+    owner = np.repeat(np.arange(len(extra)), [len(e) // 8 for e in extra])
+    values, element, times = np.unique(
+        np.frombuffer(b"".join(extra), np.uint64), return_inverse=True, return_counts=True
+    )
+    shared = np.cumsum(times > 1) - 1  # elements of one set alone are in no intersection
+    inside = times[element] > 1
+    owner, element = owner[inside], shared[element[inside]]
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], element[order]
+    for at in range(0, int((times > 1).sum()), width):
+        a, b = np.searchsorted(element, (at, at + width))
+        part = np.zeros((len(kept), width), np.float32)
+        part[owner[a:b], element[a:b] - at] = 1
+        out += part @ part.T
+    return out
+
+
+def _across(coded: DataFrame, percent: int, block: int, block_bytes: int) -> DataFrame:
+    """Links (a, b) between components, found on full sets: of each pair of parts a forest
+    at most, so fewer rows than members."""
+    sizes = coded.groupBy("leader").agg(
+        F.count("*").alias("size"), F.sum(F.octet_length("kept") + F.octet_length("extra")).alias("bytes")
+    )
+    parts = F.ceil(F.greatest(F.col("size") / block, F.col("bytes") / block_bytes))
+    dealt = _dealt(coded.join(sizes, "leader"), parts, ["node", "component", "kept", "extra", "n"])
+
+    def run(table: pa.Table) -> pa.Table:
+        nodes, inside, ours = _numbered(table)
+        n = table.column("n").to_numpy().astype(np.float64)
+        common = common_sizes(table.column("kept").to_pylist(), table.column("extra").to_pylist())
+        linked = ours & (100.0 * common >= percent * (n[:, None] + n[None, :] - common))
+        found = []
+        for i in range(len(nodes)):
+            near = np.flatnonzero(linked[i])
+            for k in near[inside[near] != inside[i]]:
+                if inside[k] != inside[i]:  # not by a link found just now
+                    found.append((nodes[i], nodes[k]))
+                    inside[inside == inside[k]] = inside[i]
+        first, second = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(first, pa.binary()), "b": pa.array(second, pa.binary())})
+
+    return dealt.groupBy("leader", "low", "high").applyInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(
@@ -226,7 +327,8 @@ def near_duplicates(
     bands: int = 32,
     rows: int = 4,
     margin: float = 0.2,
-    block: int = 256,
+    block: int = 512,
+    block_bytes: int = 16 << 20,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -238,7 +340,11 @@ def near_duplicates(
     classes = (
         profiles.where("node is not null")
         .groupBy("node")
-        .agg(F.min("id").alias("least"), F.first("bands").alias("bands"))
+        .agg(
+            F.min("id").alias("least"),
+            F.first("bands").alias("bands"),
+            F.first("sketch").alias("sketch"),
+        )
     )
     places = classes.select("node", F.explode("bands").alias("band"))
     buckets = (
@@ -262,23 +368,24 @@ def near_duplicates(
     )
     links = stored(_checked(pairs, sets, percent))
     inside = components(links)
-    placed = members.join(inside, "node", "left").select(
-        "band", "node", "size", F.coalesce("component", "node").alias("component")
+    placed = (
+        pairs.select(F.col("a").alias("leader"), F.col("b").alias("node"))
+        .join(inside, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
     )
     mixed_up = (
-        placed.groupBy("band")
-        .agg(F.min("component").alias("one"), F.max("component").alias("other"))
+        placed.groupBy("leader")
+        .agg(
+            F.count("*").alias("size"),
+            F.min("component").alias("one"),
+            F.max("component").alias("other"),
+        )
         .where("one != other")
+        .select("leader", "size")
     )
-    rest = _across(
-        placed.join(mixed_up.select("band"), "band", "left_semi").join(
-            profiles.select("node", "sketch").dropDuplicates(["node"]), "node"
-        ),
-        percent,
-        margin,
-        block,
-    ).join(pairs, ["a", "b"], "left_anti")
-    more = _checked(rest, sets, percent)
+    unsure = placed.join(mixed_up, "leader").join(classes.select("node", "sketch"), "node")
+    found = stored(_alike(unsure, percent / 100 - margin, block))
+    more = _across(stored(_coded(found, sets)), percent, block, block_bytes)
     final = components(stored(links.union(more)))
     named = profiles.join(final, "node", "left").withColumn(
         "component", F.coalesce("component", "node")

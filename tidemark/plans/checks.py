@@ -139,7 +139,8 @@ def failed_run_check(runs: DataFrame) -> DataFrame:
     """V6: the latest failed run per source, and whether it is recorded well.
 
     A source without a failed run has no row; the second state means a failed
-    run that carries a new mark.
+    run that carries a new mark. The run log alone is asked, so runs of file sources
+    are checked too, while the checks that look at marks and history cover SQL sources.
     """
     good = (F.col("Status") == m.FAILED) & F.col("NewWatermarkValue").isNull()
     return latest_failed_run(runs).select(

@@ -9,6 +9,36 @@ SENTINEL = "TIMESTAMP '1900-01-01 00:00:00'"
 NOW = "TIMESTAMP '2024-06-01 12:00:00'"
 LATER = "TIMESTAMP '2024-06-02 00:00:00'"
 
+# --- Fixed values: texts that the checks have to say -----------------------------
+
+
+class Said:
+    """Written out, so that a wrong text in the library doesn't pass on both sides."""
+
+    CHANGES_ELIGIBLE = "CHANGES_ELIGIBLE_FOR_RETRY"
+    CHANGES_PENDING = "CHANGES_PENDING"
+    CURRENT_CONFIGURATION = "CURRENT_CONFIGURATION"
+    EXPECTED_CONTAINER = "bronze"
+    FAILURE_CONTAINER = "bronze_invalid_for_failure_test"
+    FAIL_HISTORY = "FAIL_WATERMARK_HISTORY_EXISTS_FOR_FAILED_RUN"
+    HISTORY_CHECK_AREA = "Latest failed run watermark history check"
+    INVALID_FAILED_RUN = "NO_FAILED_RUN_FOUND_OR_INVALID"
+    NOT_READY = "NOT_READY_INITIAL_LOAD_NOT_COMPLETED"
+    NO_CHANGES_PENDING = "NO_CHANGES_PENDING"
+    NO_FAILED_RUN = "NO_FAILED_RUN_FOUND_YET"
+    NO_ROWS_PENDING = "NO_ROWS_PENDING_FOR_RETRY"
+    PASS_EMPTY_READY = "PASS_EMPTY_READY"
+    PASS_FAILED_RUN = "PASS_FAILED_RUN_RECORDED"
+    PASS_NO_HISTORY = "PASS_NO_WATERMARK_HISTORY_FOR_FAILED_RUN"
+    PASS_RETRY = "PASS_RETRY_VALIDATION"
+    PASS_ROWS_ELIGIBLE = "PASS_ROWS_STILL_ELIGIBLE_FOR_RETRY"
+    PREVIEW_ONLY = "PREVIEW_ONLY"
+    PREVIEW_TEXT = "When @Action = PREPARE_FAILURE, DestinationContainer will be changed temporarily to force an ADF Copy Activity failure."
+    READY_FOR_EMPTY_RUN = "READY_FOR_EMPTY_RUN_CHECK"
+    RETRY_AREA = "Retry After Failure"
+    REVIEW_REQUIRED = "REVIEW_REQUIRED"
+
+
 # --- Common table expressions -------------------------------------------------
 
 REGISTRY = (
@@ -143,17 +173,17 @@ WITH_ALL = given(
 )
 
 EMPTY_STATUS = f"""
-CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{m.NOT_READY}'
-     WHEN Eligible_Row_Count = 0 THEN '{m.PASS_EMPTY_READY}'
-     ELSE '{m.CHANGES_PENDING}' END
+CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{Said.NOT_READY}'
+     WHEN Eligible_Row_Count = 0 THEN '{Said.PASS_EMPTY_READY}'
+     ELSE '{Said.CHANGES_PENDING}' END
 """
 
 RETRY_STATUS = f"""
-CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{m.NOT_READY}'
-     WHEN FailedRunId IS NULL THEN '{m.NO_FAILED_RUN}'
+CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{Said.NOT_READY}'
+     WHEN FailedRunId IS NULL THEN '{Said.NO_FAILED_RUN}'
      WHEN History_Rows = 0 AND coalesce(Eligible_Row_Count, 0) > 0
-       THEN '{m.PASS_RETRY}'
-     ELSE '{m.REVIEW_REQUIRED}' END
+       THEN '{Said.PASS_RETRY}'
+     ELSE '{Said.REVIEW_REQUIRED}' END
 """
 
 RUN_COLUMNS = ", ".join(m.INGESTION_RUN.names)
@@ -331,24 +361,24 @@ ORACLES: dict[str, str] = {
         FROM catalog c WHERE SourceType = 'SQL_TABLE'""",
     "prepare_failure": WITH_CATALOG
     + DESTINATIONS.format(
-        container=m.FAILURE_CONTAINER, folder="DestinationFolder", now=LATER
+        container=Said.FAILURE_CONTAINER, folder="DestinationFolder", now=LATER
     ),
     "restore_config": WITH_CATALOG
     + DESTINATIONS.format(
-        container=m.EXPECTED_CONTAINER, folder="'sqlserver/restored'", now=LATER
+        container=Said.EXPECTED_CONTAINER, folder="'sqlserver/restored'", now=LATER
     ),
     "preview_failure": WITH_CATALOG
     + f"""
-        SELECT '{m.PREVIEW_ONLY}' AS Mode, SourceObjectName AS TargetSourceObject,
-               '{m.FAILURE_CONTAINER}' AS FailureDestinationContainer,
-               '{m.PREVIEW_TEXT}' AS Description
+        SELECT '{Said.PREVIEW_ONLY}' AS Mode, SourceObjectName AS TargetSourceObject,
+               '{Said.FAILURE_CONTAINER}' AS FailureDestinationContainer,
+               '{Said.PREVIEW_TEXT}' AS Description
         FROM catalog WHERE SourceType = 'SQL_TABLE'""",
     # --- Checks
     "v1_watermark_readiness": WITH_CATALOG
     + f"""
         SELECT SourceObjectName, LastWatermarkValue,
-               CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{m.NOT_READY}'
-                    ELSE '{m.READY_FOR_EMPTY_RUN}' END AS Readiness_Status
+               CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{Said.NOT_READY}'
+                    ELSE '{Said.READY_FOR_EMPTY_RUN}' END AS Readiness_Status
         FROM catalog WHERE SourceType = 'SQL_TABLE' ORDER BY SourceObjectName""",
     "v2_empty_run_eligibility": WITH_STATS
     + f"""
@@ -370,10 +400,10 @@ ORACLES: dict[str, str] = {
     "v5_retry_readiness": WITH_STATS
     + f"""
         SELECT SourceObjectName, LastWatermarkValue, CurrentHighWatermarkValue,
-               CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{m.NOT_READY}'
+               CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{Said.NOT_READY}'
                     WHEN CurrentHighWatermarkValue > LastWatermarkValue
-                      THEN '{m.CHANGES_ELIGIBLE}'
-                    ELSE '{m.NO_CHANGES_PENDING}' END AS Retry_Readiness_Status
+                      THEN '{Said.CHANGES_ELIGIBLE}'
+                    ELSE '{Said.NO_CHANGES_PENDING}' END AS Retry_Readiness_Status
         FROM registry LEFT JOIN stats USING (SourceObjectId)""",
     "v6_latest_failed_run": given(RUNS, LATEST_FAILED)
     + f"""
@@ -381,28 +411,28 @@ ORACLES: dict[str, str] = {
                CurrentHighWatermarkValue, NewWatermarkValue, RowsRead, RowsCopied,
                ErrorMessage, StartedAt, EndedAt,
                CASE WHEN Status = 'Failed' AND NewWatermarkValue IS NULL
-                    THEN '{m.PASS_FAILED_RUN}' ELSE '{m.INVALID_FAILED_RUN}'
+                    THEN '{Said.PASS_FAILED_RUN}' ELSE '{Said.INVALID_FAILED_RUN}'
                END AS Validation_Status
         FROM latest_failed""",
     "v7_failed_run_history_check": WITH_TRACES
     + f"""
-        SELECT '{m.HISTORY_CHECK_AREA}' AS ValidationArea, SourceObjectName,
+        SELECT '{Said.HISTORY_CHECK_AREA}' AS ValidationArea, SourceObjectName,
                FailedRunId, History_Rows AS WatermarkHistory_Count,
-               CASE WHEN FailedRunId IS NULL THEN '{m.NO_FAILED_RUN}'
-                    WHEN History_Rows = 0 THEN '{m.PASS_NO_HISTORY}'
-                    ELSE '{m.FAIL_HISTORY}' END AS Validation_Status
+               CASE WHEN FailedRunId IS NULL THEN '{Said.NO_FAILED_RUN}'
+                    WHEN History_Rows = 0 THEN '{Said.PASS_NO_HISTORY}'
+                    ELSE '{Said.FAIL_HISTORY}' END AS Validation_Status
         FROM traces""",
     "v8_retry_eligible_rows": WITH_STATS
     + f"""
         SELECT SourceObjectName, LastWatermarkValue, CurrentHighWatermarkValue,
                Eligible_Row_Count,
-               CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{m.NOT_READY}'
-                    WHEN Eligible_Row_Count > 0 THEN '{m.PASS_ROWS_ELIGIBLE}'
-                    ELSE '{m.NO_ROWS_PENDING}' END AS Validation_Status
+               CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{Said.NOT_READY}'
+                    WHEN Eligible_Row_Count > 0 THEN '{Said.PASS_ROWS_ELIGIBLE}'
+                    ELSE '{Said.NO_ROWS_PENDING}' END AS Validation_Status
         FROM registry LEFT JOIN stats USING (SourceObjectId)""",
     "v9_retry_summary": WITH_ALL
     + f"""
-        SELECT '{m.RETRY_AREA}' AS ValidationArea, SourceObjectName,
+        SELECT '{Said.RETRY_AREA}' AS ValidationArea, SourceObjectName,
                CASE WHEN FailedRunId IS NOT NULL THEN 'YES' ELSE 'NO' END
                  AS Failed_Run_Exists,
                coalesce(Eligible_Row_Count, 0) AS Eligible_Row_Count,
@@ -411,7 +441,7 @@ ORACLES: dict[str, str] = {
         FROM traces LEFT JOIN stats USING (SourceObjectId)""",
     "v10_source_config": WITH_CATALOG
     + f"""
-        SELECT '{m.CURRENT_CONFIGURATION}' AS ResultType, SourceObjectId,
+        SELECT '{Said.CURRENT_CONFIGURATION}' AS ResultType, SourceObjectId,
                SourceObjectName, LastWatermarkValue, DestinationContainer,
                DestinationFolder, DestinationFormat
         FROM catalog""",
@@ -454,9 +484,9 @@ ORACLES: dict[str, str] = {
     + f"""
         SELECT SourceObjectName, LastWatermarkValue, CurrentHighWatermarkValue,
                Eligible_Row_Count,
-               CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{m.NOT_READY}'
-                    WHEN Eligible_Row_Count > 0 THEN '{m.PASS_ROWS_ELIGIBLE}'
-                    ELSE '{m.NO_ROWS_PENDING}' END AS Validation_Status
+               CASE WHEN LastWatermarkValue = {SENTINEL} THEN '{Said.NOT_READY}'
+                    WHEN Eligible_Row_Count > 0 THEN '{Said.PASS_ROWS_ELIGIBLE}'
+                    ELSE '{Said.NO_ROWS_PENDING}' END AS Validation_Status
         FROM catalog LEFT JOIN many USING (SourceObjectId)
         WHERE SourceType = 'SQL_TABLE'""",
     "pending_many_sources": WITH_MANY
@@ -499,7 +529,7 @@ ORACLES: dict[str, str] = {
         SELECT 'Orders' AS SourceObjectName, max(o_orderdate) AS LastWatermarkValue,
                max(o_orderdate) AS CurrentHighWatermarkValue,
                CAST(0 AS BIGINT) AS Eligible_Row_Count,
-               '{m.PASS_EMPTY_READY}' AS Validation_Status, 'Succeeded' AS Status,
+               '{Said.PASS_EMPTY_READY}' AS Validation_Status, 'Succeeded' AS Status,
                CAST(0 AS BIGINT) AS RowsRead, CAST(0 AS BIGINT) AS RowsCopied,
                max(o_orderdate) AS NewWatermarkValue, CAST(1 AS BIGINT) AS History_Rows
         FROM orders""",

@@ -12,7 +12,8 @@ in a document with a smaller id, or in the same one before it.
    all places where a string can occur meet in one shard. A span that a task has seen
    before is known to repeat; it goes at once and isn't sent, so a passage that a third of all
    documents share costs one span a task.
-3. Index. A shard orders its distinct spans as they stand in the corpus, builds their
+3. Index. A shard orders its distinct spans as they stand in the corpus, leaves out those
+   that are the only form of text around their anchor, builds the others'
    Burrows-Wheeler transform, keeps its runs with a sampled text position at every run
    end, and streams every span through it from its end, one LF step a byte. The row of
    a position lies in an interval of rows that share `length` bytes, whose least
@@ -28,6 +29,7 @@ bytes. The documents have to be a table that is read again in the same order.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +77,17 @@ def anchors(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray
     return mixed(best[cut]), cut, np.append(cut[1:], len(at)) - 1
 
 
+def _first_rows(fresh: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Of each row the first one of its run of equals; `fresh` says where runs begin."""
+    heads = np.flatnonzero(fresh)
+    return np.repeat(rows[heads], np.diff(np.append(heads, len(fresh))))
+
+
+def _single(fresh: np.ndarray) -> np.ndarray:
+    """Which rows are a run of their own."""
+    return fresh & np.append(fresh[1:], True)
+
+
 class RunIndex:
     """The run-length compressed transform of spans in corpus order."""
 
@@ -111,24 +124,30 @@ class RunIndex:
         key[self.ends] = np.arange(len(self.ends))
         k = 7
         order = np.argsort(key, kind="stable")
-        # Separators come first, each with a rank of its own.
+        # Separators come first, each with a rank of its own: the first row of its equals.
         fresh = np.ones(n, bool)
         fresh[1:] = key[order[1:]] != key[order[:-1]]
         rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(fresh) - 1
-        self.stop, self.rank, self.depth = stop, rank, k
-        while k < longest and int(rank.max()) < n - 1:
+        rank[order] = _first_rows(fresh, np.arange(n))
+        self.stop, self.rank, self.depth, k = stop, rank.copy(), 7, 7
+        rows = np.flatnonzero(~_single(fresh))
+        while len(rows) and k < longest:
+            # Only rows that still have equals are sorted on, within their range.
             if k <= self.length:
-                self.rank, self.depth = rank, k
-            key = rank * n + rank[np.minimum(place + k, stop)]
-            order = np.argsort(key)
-            fresh[1:] = key[order[1:]] != key[order[:-1]]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(fresh) - 1
+                self.rank, self.depth = rank.copy(), k
+            at = order[rows]
+            key = rank[at] * n + rank[np.minimum(at + k, stop[at])]
+            by_key = np.argsort(key, kind="stable")
+            at, key = at[by_key], key[by_key]
+            order[rows] = at
+            fresh = np.ones(len(at), bool)
+            fresh[1:] = key[1:] != key[:-1]
+            rank[at] = _first_rows(fresh, rows)
+            rows = rows[~_single(fresh)]
             k *= 2
         if k <= self.length:
             self.rank, self.depth = rank, k
-        return np.argsort(rank)
+        return order
 
     def _breaks(self, order: np.ndarray, n: int) -> np.ndarray:
         """Rows that don't share `length` bytes with the row before."""
@@ -168,12 +187,15 @@ class RunIndex:
         return out
 
 
-_SPANS = "shard int, ids array<long>, keys array<long>, starts array<long>, sizes array<int>, data binary, gone array<int>"
+_SPANS = (
+    "shard int, ids array<long>, keys array<long>, starts array<long>, sizes array<int>, "
+    "anchors array<long>, data binary, gone array<int>"
+)
 
 
 def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
     longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
-    kinds = [pa.int32(), longs, longs, longs, ints, pa.binary(), ints]
+    kinds = [pa.int32(), longs, longs, longs, ints, longs, pa.binary(), ints]
     names = [part.split()[0] for part in _SPANS.split(", ")]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
@@ -208,8 +230,12 @@ def _spans(texts: DataFrame, length: int, gram: int, shards: int, block_bytes: i
                 at = np.flatnonzero(np.unpackbits(np.frombuffer(flags, np.uint8))[: len(first)])
                 where = ((hashes[at] >> _U(32)) * _U(shards)) >> _U(32)
                 ends = last[at] + length
-                for shard, a, b in zip(
-                    where.tolist(), first[at].tolist(), ends.tolist(), strict=True
+                for shard, a, b, anchor in zip(
+                    where.tolist(),
+                    first[at].tolist(),
+                    ends.tolist(),
+                    hashes[at].view(np.int64).tolist(),
+                    strict=True,
                 ):
                     part = text[a:b]
                     if part in seen:
@@ -217,14 +243,16 @@ def _spans(texts: DataFrame, length: int, gram: int, shards: int, block_bytes: i
                             column.append(value)
                         continue
                     seen.add(part)
-                    slot = deal.setdefault(shard, ([], [], [], [], []))
-                    for column, value in zip(slot, (key, digest, a, b - a, part), strict=True):
+                    slot = deal.setdefault(shard, ([], [], [], [], [], []))
+                    values = (key, digest, a, b - a, anchor, part)
+                    for column, value in zip(slot, values, strict=True):
                         column.append(value)
             rows = [
-                (s, i, k, a, n, coder.compress(b"".join(p)), []) for s, (i, k, a, n, p) in deal.items()
+                (shard, *columns, coder.compress(b"".join(parts)), [])
+                for shard, (*columns, parts) in deal.items()
             ]
             if gone[0]:
-                rows.append((hash(gone[0][0]) % shards, *gone[:3], [], b"", gone[3]))
+                rows.append((hash(gone[0][0]) % shards, *gone[:3], [], [], b"", gone[3]))
             if rows:
                 yield _span_batch(rows)
 
@@ -248,23 +276,26 @@ def _indexed(length: int):
                     out.setdefault((i, k), []).extend((a, a + n))
                 continue
             data, at = decoder.decompress(row["data"], max_output_size=sum(row["sizes"])), 0
-            for i, k, a, n in zip(
-                row["ids"], row["keys"], row["starts"], row["sizes"], strict=True
+            for i, k, a, n, anchor in zip(
+                row["ids"], row["keys"], row["starts"], row["sizes"], row["anchors"], strict=True
             ):
-                spans.append((i, k, a, data[at : at + n]))
+                spans.append((i, k, a, data[at : at + n], anchor))
                 at += n
         spans.sort(key=lambda s: s[:3])
         seen: dict[bytes, tuple] = {}
-        distinct = []
-        for i, k, a, part in spans:
+        distinct, forms = [], Counter()
+        for i, k, a, part, anchor in spans:
             if part not in seen:
                 seen[part] = (i, k, a)
-                distinct.append((i, k, a, part))
+                distinct.append((i, k, a, part, anchor))
+                forms[anchor] += 1
             elif seen[part] != (i, k, a):
                 out.setdefault((i, k), []).extend((a, a + len(part)))
+        # A window is found only where its anchor is, and never twice around one anchor.
+        distinct = [s for s in distinct if forms[s[4]] > 1]
         if distinct:
             found = RunIndex([s[3] for s in distinct], length).earlier()
-            for (i, k, a, _), earlier in zip(distinct, found, strict=True):
+            for (i, k, a, *_), earlier in zip(distinct, found, strict=True):
                 if earlier.any():
                     cuts = intervals(np.flatnonzero(earlier), length) + a
                     out.setdefault((i, k), []).extend(cuts.tolist())

@@ -83,11 +83,11 @@ def hits(docs, items, window=10):
     wanted = defaultdict(set)
     for item, text in items:
         words = ALNUM_WORD.findall(lower(text or ""))
-        if item is None or not words:
+        if not words:
             continue
         size = min(window, len(words))
         for i in range(len(words) - size + 1):
-            wanted[tuple(words[i : i + size])].add(str(item))
+            wanted[tuple(words[i : i + size])].add(None if item is None else str(item))
     sizes = {len(w) for w in wanted}
     out = []
     for key, text in docs:
@@ -95,11 +95,12 @@ def hits(docs, items, window=10):
         hit, found = np.zeros(len(words), bool), set()
         for size in sizes:
             for i in range(len(words) - size + 1):
-                if who := wanted.get(tuple(words[i : i + size])):
+                if (who := wanted.get(tuple(words[i : i + size]))) is not None:
                     hit[i : i + size] = True
                     found |= who
         n = int(hit.sum())
-        out.append((key, len(words), n, len(found), sha(",".join(sorted(found)).encode()), n > 0))
+        named = ",".join(sorted(i for i in found if i is not None))
+        out.append((key, len(words), n, len(found), sha(named.encode()), n > 0))
     return out
 
 

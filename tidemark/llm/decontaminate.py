@@ -6,11 +6,13 @@ text; an item with fewer words, but at least one, is one window of its own. Hash
 are verified word by word. Words inside an occurrence are hit.
 
 The benchmark is broadcast in blocks of at most `block_bytes` of text, as many as it
-takes: each block is one narrow pass that adds its hits to the rows, so no bound on
-the benchmark's size is needed and the documents are never shuffled.
+takes: each block is one narrow step that adds its hits to the rows, and the documents are
+never shuffled. All blocks pass through the driver, one at a time, and stay with the
+executors for the whole pass, so the benchmark has to fit their memory.
 
-Null and empty texts have no words. Repeated rows are judged one by one. Items that
-are null or have no words are never found. An empty benchmark hits nothing.
+Null and empty texts have no words. Repeated rows are judged one by one. Items without
+text or words are never found; those without an id hit, and count as one item without a
+name. An empty benchmark hits nothing.
 """
 
 from __future__ import annotations
@@ -48,6 +50,10 @@ def _rolled(ids: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _by_name(item: str | None) -> tuple[bool, str]:
+    return item is None, item or ""
+
+
 class Index:
     """The windows of one block of items, by length."""
 
@@ -58,7 +64,8 @@ class Index:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
             size = min(window, len(ids))
             for i in range(len(ids) - size + 1 if size else 0):
-                windows.setdefault(size, {}).setdefault(tuple(ids[i : i + size]), set()).add(item)
+                found = windows.setdefault(size, {}).setdefault(tuple(ids[i : i + size]), set())
+                found.add(item)
         self.windows = windows
         self.hashes = {
             size: np.unique([_rolled(np.array(w, np.uint64), size)[0] for w in found])
@@ -80,7 +87,8 @@ class Index:
             hashes = self.hashes[size]
             place = np.minimum(np.searchsorted(hashes, rolled), len(hashes) - 1)
             for i in at[hashes[place] == rolled]:
-                if who := found.get(tuple(ids[i : i + size].tolist())):
+                who = found.get(tuple(ids[i : i + size].tolist()))
+                if who is not None:
                     hit[i : i + size] = True
                     items |= who
 
@@ -90,11 +98,11 @@ def _blocks(
 ) -> Iterator[list[tuple[str, list[bytes]]]]:
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")
-    ).where("item is not null and text is not null")
+    ).where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = total // block_bytes + 1
     if parts > 1:
-        items = items.repartition(parts, "item")
+        items = items.repartition(parts, "item", "text")
     block, size = [], 0
     for row in items.toLocalIterator():
         raw = row.text.encode()
@@ -146,8 +154,8 @@ def mark(
                         hit |= np.frombuffer(old, bool)
                     who = set(found)
                     index.value.hits(words, hit, who)
-                    hits.append(hit.tobytes() if who else b"")
-                    items.append(sorted(who))
+                    hits.append(hit.tobytes() if hit.any() else b"")
+                    items.append(sorted(who, key=_by_name))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id"),
@@ -176,7 +184,8 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **opti
                 batch.column("items").to_pylist(),
                 strict=True,
             ):
-                digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+                named = ",".join(sorted(i for i in items if i is not None))
+                digest = hashlib.sha256(named.encode()).hexdigest()
                 out.append((len(words_of(text)), sum(hit or b""), len(items), digest))
             n_words, n_hit, n_items, digests = zip(*out, strict=True) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(

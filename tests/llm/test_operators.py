@@ -131,6 +131,23 @@ def test_urls(spark, write):
     assert urls.verdicts(table.where("false"), urls.rule_table(spark)).count() == 0
 
 
+def test_urls_of_very_many_parts(spark, write):
+    """Depths that rules have are found at any depth of the URL; extra columns play no part."""
+    rules = [("block", "a.b.c", "/1/2/3/"), ("allow", "c", "/1/"), ("block", "b.c", "/1/2/x")]
+    deep = "/".join(str(i) for i in range(1, 40001))
+    hosts = ["c", "b.c", "a.b.c", "x." * 300 + "a.b.c", ".".join(["y"] * 20000) + ".c"]
+    pages = [f"http://{h}/{p}" for h in hosts for p in (deep, "1/2/xyz", "1/2", "1", "")]
+    table = write([(i, u, "h", "p", 1) for i, u in enumerate(pages)],
+                  "page_id long, url string, host string, path string, size int")
+    frame = spark.createDataFrame(rules, "verdict string, host string, path string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.verdicts(table, frame).collect()}
+    for i, u in enumerate(pages):
+        host, path = u.split("://")[1].split("/", 1)
+        fit = [(h + p, v) for v, h, p in rules
+               if (host == h or host.endswith("." + h)) and f"/{path}".startswith(p)]
+        assert got[i] == max(fit, key=lambda x: len(x[0]), default=(None, "allow"))
+
+
 HIT = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
 
 

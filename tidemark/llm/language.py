@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.graph import stored
 from tidemark.llm.text import blobs, bounded
+from tidemark.operators.joins import at_most
 
 UNKNOWN = "und"
 _SHIFT = 21  # bits of a code point
@@ -66,6 +68,10 @@ def profile(grams: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     return grams[np.lexsort((grams, -counts))][:size]
 
 
+#: Parts of a language that are ranked apart.
+_PARTS = 64
+
+
 def learn(
     docs: DataFrame,
     usable: Column | None = None,
@@ -82,14 +88,16 @@ def learn(
     ).where("id is not null and lang is not null and text is not null")
     if usable is not None:
         rows = rows.where(usable)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        rows.select("id", "lang")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= rows_per_lang)
-        .drop("place")
-        .dropDuplicates()
-    )
+    # Least hashes of parts of a language first, so that no task ranks a whole one.
+    ranked = rows.select("id", "lang", F.xxhash64("id").alias("hash"))
+    ranked = ranked.withColumn("part", F.pmod("hash", F.lit(_PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("hash", "id")
+        ranked = ranked.withColumn("place", F.row_number().over(order))
+        ranked = ranked.where(F.col("place") <= rows_per_lang).drop("place")
+    chosen = stored(ranked.select("id", "lang").dropDuplicates())
+    if at_most(chosen):  # so the texts of the others aren't shuffled
+        chosen = F.broadcast(chosen)
 
     def run(batches):
         for batch in batches:

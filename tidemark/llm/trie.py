@@ -158,7 +158,7 @@ def _rebuilt(pieces: DataFrame, family: int, heads: int, block: int) -> DataFram
                        *(root[c].alias(c) for c in _ARRAYS))
     drop = F.greatest(F.col("h") - F.col("begin"), F.lit(0)).cast("int")
     rest = (
-        placed.join(convs.select("conv", "n", "h", "hb"), "conv")
+        left_join(placed, convs.select("conv", "n", "h", "hb"), "conv")
         .where(size > drop)
         .select(
             "conv",
@@ -422,6 +422,7 @@ def prefix_nodes(
     pieces = stored(_pieces(turns, block))
     strands = stored(_positioned(_rebuilt(pieces, family, heads, block), block))
 
+    # What lies in the blocks before one; the arrays stay where they are meanwhile.
     before = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     started = {
@@ -430,10 +431,13 @@ def prefix_nodes(
         "w0": F.coalesce(F.sum("sum").over(before), zero),
     }
     deep = F.col("n") >= block
+    starts = strands.where(deep).select("conv", "block", "xa", "xb", "sum").withColumns(started)
     strands = (
         strands.where(~deep)
         .withColumns(dict.fromkeys(started, zero))
-        .unionByName(strands.where(deep).withColumns(started))
+        .unionByName(
+            strands.where(deep).join(starts.select("conv", "block", *started), ["conv", "block"])
+        )
         .drop("xa", "xb", "sum")
     )
     local = stored(_local(strands, block, shard_turns))
@@ -455,7 +459,7 @@ def prefix_nodes(
         )
     )
     beyond = F.lit((1 << 62)).cast("long")
-    known = strands.join(owners.drop("up"), "conv", "left").select(
+    known = left_join(strands, owners.drop("up"), "conv").select(
         *strands.columns,
         F.coalesce("owned", beyond).alias("owned"),
         F.greatest(F.coalesce("owned", beyond) - 1, F.coalesce("shared", F.lit(-1))).alias("last"),
@@ -465,10 +469,10 @@ def prefix_nodes(
     foreign = F.aggregate(
         F.slice("words", 1, inside.cast("int")), zero, lambda total, x: total + x
     )
-    long_ = known.where(deep)
-    sums = long_.groupBy("conv").agg(F.sum(foreign).alias("foreign"))
+    long_ = stored(known.where(deep))
+    sums = stored(long_.groupBy("conv").agg(F.sum(foreign).alias("foreign")))
     known = known.where(~deep).withColumn("foreign", F.lit(None).cast("long")).unionByName(
-        long_.join(sums, "conv")
+        left_join(long_, sums, "conv")
     )
     facts = (
         nodes.select("key", "depth", "conv", "n")

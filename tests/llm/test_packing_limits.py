@@ -71,3 +71,33 @@ def test_all_three_limits_hold(spark, tmp_path, limits):
         assert max(loss.values()) == most
     if "max_segments" in limits:
         assert max(segments.values()) == limits["max_segments"]
+
+
+@pytest.mark.parametrize(("count", "size"), [(1001, 3), (2000, 9), (3000, 11), (40, 700)])
+def test_short_documents_need_little_padding(spark, tmp_path, count, size):
+    """All in one partition; the segment limit comes long before the token limit."""
+    docs = [(i, " ".join(["a"] * (size - 1))) for i in range(count)]
+    path = str(tmp_path / "short")
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(path)
+    pieces = packing.pack(spark.read.parquet(path), vocabulary()).collect()
+    used, padded = brute.check_packing(docs, pieces, vocabulary())
+    assert used == count * size and padded <= 1.05 * used
+
+
+def test_words_are_encoded_as_within_their_text():
+    """Words with marks, digits, contractions, odd letters; and a memory that is too small."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    draw, coder = random.Random(3), Tokenizer.from_file(vocabulary())
+    parts = ["'", "s", "t", "re", "S", "ll", "é", "É", "1", "!", ".", "<|", " ", "İ", "Σ", "ß",
+             "\xa0", "ﬁ", "́", "\x1c", "½", "“", "<|endoftext|>"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randrange(1, 14))) for _ in range(3000)]
+    encoder = packing.Encoder(vocabulary(), size=20_000)
+    for at in range(0, len(texts), 50):
+        part = texts[at : at + 50]
+        for text, got in zip(part, encoder.encode([t.encode() for t in part]), strict=True):
+            want = np.array(coder.encode(text, add_special_tokens=False).ids, "<u4")
+            assert got == want.tobytes(), text
+        kept = [*encoder.young.items(), *encoder.old.items()]
+        assert sum(len(k) + len(v) for k, v in kept) < 3 * 20_000 + 100_000

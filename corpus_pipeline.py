@@ -47,7 +47,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, vocabulary())
+    # Workers that other stages have used before have less memory to spare.
+    return packing.pack(docs, vocabulary(), memory=12 << 20)
 
 
 STAGES = [

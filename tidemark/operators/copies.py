@@ -72,7 +72,7 @@ def copy_frame(text: DataFrame, spec: FileSpec, path: str, rejected_path: str) -
 
 def write_records(records: DataFrame, spec: FileSpec, path: str) -> None:
     """Write raw records in the form of their file; the frame has just that column."""
-    writer_options = {"lineSep": "\n"}
+    writer_options = {"lineSep": "\n", "maxRecordsPerFile": 0}
     line = F.col(records.columns[0])
     if spec.source_type == CSV_FILE:
         if spec.header:

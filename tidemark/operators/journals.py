@@ -126,9 +126,12 @@ def batch_of(run_id: Column) -> Column:
     return F.regexp_replace(run_id, f"{_ATTEMPT}[0-9]+$", "")
 
 
-def attempts(runs: DataFrame, name: str) -> list[Row]:
-    """The runs of all attempts at one batch: as many as there were failures, and one."""
-    return runs.where(F.col("RunId").startswith(name + _ATTEMPT)).collect()
+def attempts(journal: DataFrame, name: str) -> list[Row]:
+    """The runs of all attempts at one batch: as many as there were failures, and one.
+
+    Only their own rows of the run journal are folded.
+    """
+    return run_state(journal.where(F.col("RunId").startswith(name + _ATTEMPT))).collect()
 
 
 # --- State changes of runs, for one run or for any number ---------------------

@@ -51,7 +51,7 @@ def ingest_new_files(
 
     def copy_batch(batch: DataFrame, batch_id: int) -> None:
         name = f"{query_id(store.spark, checkpoint)}-{batch_id}"
-        earlier = attempts(store.runs(), name)
+        earlier = attempts(store.journal("ingestion_run"), name)
         for row in earlier:
             if row.Status == SUCCEEDED:  # the stream stopped before it noted that
                 done[row.RunId] = Counts(row.RowsRead, row.RowsCopied)

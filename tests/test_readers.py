@@ -22,6 +22,8 @@ from tidemark.sources.raw import read_raw, record_pattern, split_records
 from tidemark.sources.readers import FileSpec, TableSpec, read_source
 from tidemark.sources.tables import Bounds, FrameTables, JdbcTables
 from tidemark.sources.zones import scratch, zone
+from workload import tables as t
+from workload.queries import QUERIES
 
 
 @pytest.fixture
@@ -293,6 +295,29 @@ def test_any_text_survives_a_copy(spark, source_type, texts):
     assert [tuple(row) for row in got] == rows
 
 
+def test_landed_adjustments_are_packed_in_many_files(spark, base, monkeypatch):
+    monkeypatch.setitem(t.PACKED, "maxRecordsPerFile", 500)
+    rows = spark.range(0, 1700, 1, 1).selectExpr(
+        "IF(id = 9, NULL, id) AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus",
+        "1.5D AS o_totalprice", "IF(id = 8, NULL, TIMESTAMP_NTZ '2001-02-03 00:00:00') AS o_orderdate",
+        "'1-URGENT' AS o_orderpriority",
+    )
+    rows.write.parquet(f"{base}/orders.parquet")
+    spec = t.adjustments_file(spark, base)
+    sizes = [part.stat().st_size for part in Path(spec.path).glob("part-*")]
+    assert len(sizes) == 4
+    text = spark.read.text(spec.path).agg(F.sum(F.octet_length("value") + 1)).first()[0]
+    assert sum(sizes) * 5 < text
+    got = {tuple(row) for row in QUERIES["read_manual_adjustments"](spark, base).collect()}
+    assert got == {
+        (None if k == 9 else f"BATCH-{k}", "reference_files",
+         None if k == 8 else datetime(2001, 2, 3), 2,
+         f"CUSTOMER-{k % 7}" if k == 9 else f"ORDER-{k};CUSTOMER-{k % 7}")
+        for k in range(1700)
+    }
+    assert QUERIES["explode_adjustments"](spark, base).count() == 3400
+
+
 def test_parquet_table(spark, base):
     spark.range(3).write.parquet(f"{base}/orders.parquet")
     assert read_source(spark, TableSpec("dbo", "orders", root=base)).count() == 3

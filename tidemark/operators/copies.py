@@ -29,9 +29,9 @@ def run_folder(base: str, folder: str, run_id: str) -> str:
     return f"{base.rstrip('/')}/{folder}/run_id={run_id}"
 
 
-def write_file(df: DataFrame, source_type: str, path: str) -> None:
+def write_file(df: DataFrame, source_type: str, path: str, **options: str | int) -> None:
     """Write rows in the format of their source."""
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").options(**options)
     if source_type == CSV_FILE:
         writer.options(**CSV_WRITE).option("header", True).csv(path)
     elif source_type == JSON_FILE:

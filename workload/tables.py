@@ -392,6 +392,11 @@ def adjustment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Documents repeat their field names, so gzip leaves a twentieth. A gzipped file is one
+# task's, so files have few enough documents for many tasks.
+PACKED = {"compression": "gzip", "maxRecordsPerFile": 50_000}
+
+
 class Landing:
     """Landing files written once per session and scale."""
 
@@ -425,7 +430,7 @@ def country_file(spark: SparkSession, sf_dir: str) -> FileSpec:
 
 def adjustments_file(spark: SparkSession, sf_dir: str) -> FileSpec:
     def write(path: str) -> None:
-        write_file(adjustment_documents(spark, sf_dir), m.JSON_FILE, path)
+        write_file(adjustment_documents(spark, sf_dir), m.JSON_FILE, path, **PACKED)
 
     path = Landing.path(spark, sf_dir, "manual_adjustments", write)
     return FileSpec(m.JSON_FILE, path, m.MANUAL_ADJUSTMENTS, multi_line=False)

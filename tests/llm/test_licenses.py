@@ -9,7 +9,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tidemark.llm import licenses
-from tidemark.llm.queries import QUERIES
+from tidemark.llm.queries import QUERIES, tree_path
 
 APACHE = licenses.TEMPLATES[4][1]
 MIT = "Released under the MIT License."
@@ -96,3 +96,25 @@ def test_every_license_line_of_the_table_is_found(spark):
     for d in docs:
         want = sorted({line[x] for x in (d.text or "").split("\n") if x in line})
         assert (got[d.doc_id].licenses or "") == ",".join(want)
+
+
+def test_documents_inherit_in_the_tree_of_their_source(spark, base):
+    lines = [APACHE, MIT, GPL, "Licensed under CC BY 4.0."]
+    rows = [(i, f"some words\n{lines[i % 4]}" if i % 3 == 0 else "some words", "s") for i in range(450)]
+    rows += [(i, MIT if i == 9024 else "x", None) for i in range(9000, 9100)]
+    rows += [(-7, "x", "t/u"), (2**62, None, "s"), (None, GPL, "s"), (7, "twice", "s"), (None, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.withColumns({"lang": F.lit("en"), "n_chars": F.length("text").cast("long")}).write.parquet(
+        f"{base}/documents.parquet"
+    )
+    got = QUERIES["op3_license_scans"](spark, base)
+    paths = docs.select("*", tree_path().alias("path")).collect()
+    want = plain([(r.doc_id, r.path, r.text) for r in paths])
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    assert {"s", "", "t/u/0/0/-7"} <= {r.path for r in paths}
+    depths = {
+        (path.count("/"), giver.count("/"))
+        for _, path, _, score, _, giver in want if giver and score is None
+    }
+    # Of the folder, of the package for its folders, and for a file of its own.
+    assert depths >= {(3, 3), (3, 2), (2, 2)}

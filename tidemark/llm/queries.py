@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
@@ -47,11 +47,29 @@ def op1_quality_rules(spark, sf_dir):
     return rules.quality(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def tree_path() -> Column:
+    """Where a document lies in the tree of its source, as the table has no paths.
+
+    Ids are dealt in ranges to packages, and in shorter ones to folders of these. By a
+    checksum of the id, 1 of 25 documents is named as a licence file of its folder, and
+    1 of 25 lies in the package itself as one. Null parts are left out.
+    """
+    name = F.col("doc_id").cast("string")
+    drawn = F.crc32(name) % 25
+    package, folder = F.expr("doc_id div 4000"), F.expr("doc_id div 400")
+    return F.concat_ws(
+        "/",
+        "source",
+        package.cast("string"),
+        F.when(drawn != 1, folder.cast("string")),
+        F.when(drawn < 2, F.concat(F.lit("LICENSE."), name)).otherwise(name),
+    )
+
+
 @query
 def op3_license_scans(spark, sf_dir):
-    path = F.concat_ws("/", "source", F.col("doc_id").cast("string"))
     return licenses.scan(
-        table(spark, sf_dir, "documents"), licenses.template_table(spark), path
+        table(spark, sf_dir, "documents"), licenses.template_table(spark), tree_path()
     )
 
 

@@ -35,22 +35,27 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a != b").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every edge leads from a node that has no other to the least of a component."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
+    sums = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return sums.where("out + into > 1 and out > 0").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the least node reachable) for every node of an edge.
 
-    Rounds are logarithmic in the number of nodes; each is written out, and only a
-    count and a checksum of it come to the driver.
+    Rounds are logarithmic in the number of nodes; each is written out, and only
+    whether it was the last comes to the driver. The given edges are read once.
     """
     a, b = edges.columns
-    edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b").distinct()
-    edges, before = stored(edges), None
-    while True:
-        sums = edges.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if sums == before:
-            break
-        before = sums
+    edges = stored(
+        edges.where(F.col(a) != F.col(b))
+        .select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
+        .distinct()
+    )
+    while not _settled(edges):
         edges = stored(_stars(_stars(edges, True), False))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

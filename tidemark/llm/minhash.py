@@ -352,9 +352,9 @@ def near_duplicates(
         .agg(F.min("node").alias("leader"), F.count("*").alias("size"))
         .where("size > 1")
     )
-    members = stored(places.join(buckets, "band"))
     pairs = stored(
-        members.where("node != leader")
+        places.join(buckets, "band")
+        .where("node != leader")
         .select(F.col("leader").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
@@ -366,8 +366,7 @@ def near_duplicates(
         .join(asked, "node", "left_semi")
         .dropDuplicates(["node"])
     )
-    links = stored(_checked(pairs, sets, percent))
-    inside = components(links)
+    inside = components(_checked(pairs, sets, percent))
     placed = (
         pairs.select(F.col("a").alias("leader"), F.col("b").alias("node"))
         .join(inside, "node", "left")
@@ -386,7 +385,8 @@ def near_duplicates(
     unsure = placed.join(mixed_up, "leader").join(classes.select("node", "sketch"), "node")
     found = stored(_alike(unsure, percent / 100 - margin, block))
     more = _across(stored(_coded(found, sets)), percent, block, block_bytes)
-    final = components(stored(links.union(more)))
+    # Links to the least node of a component tie together what the links found before do.
+    final = components(inside.union(more))
     named = profiles.join(final, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
